@@ -7,6 +7,7 @@ worker, no vocabulary table that would grow with the corpus.
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -268,3 +269,18 @@ def stem(word: Column) -> Column:
 def analyze(text: Column) -> Column:
     """The whole chain: array of stems, null where a stop word was."""
     return stem_all(drop_stop_words(tokenize(text)))
+
+
+_built: dict[tuple[str, str], Column] = {}
+
+
+def analyze_column(name: str) -> Column:
+    """``analyze(F.col(name))``, built once per application.
+
+    The expression has about a thousand nodes, and making them from Python
+    takes longer than analysing a short query.
+    """
+    key = (SparkContext.getOrCreate().applicationId, name)
+    if key not in _built:
+        _built[key] = analyze(F.col(name))
+    return _built[key]

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.analysis import analyze, bind
+from wordloom.functions.analysis import analyze_column, bind
 from wordloom.functions.lengths import quantize_length
 
 FIELDS = ("content", "title")
@@ -60,7 +60,7 @@ def analyze_documents(corpus: DataFrame, fields: Sequence[str] = FIELDS) -> Data
     The texts themselves are dropped; a narrow step, whatever the corpus size.
     """
     keys = [c for c in corpus.columns if c not in fields]
-    runs = [term_runs(analyze(F.col(f))).alias(f"runs_{f}") for f in fields]
+    runs = [term_runs(analyze_column(f)).alias(f"runs_{f}") for f in fields]
     return corpus.select(*keys, *runs)
 
 
@@ -75,11 +75,15 @@ def postings_of(analyzed: DataFrame, fields: Sequence[str] = FIELDS) -> DataFram
         *[F.struct(F.lit(f).alias("field"), F.col(f"runs_{f}").alias("runs")) for f in fields]
     )
     dl = F.aggregate("runs", F.lit(0), lambda n, r: n + r["tf"])
-    # The outer form of the generator: the inner one would make Spark test the
-    # array for emptiness first, and so run the whole analysis twice.
+    # Lengths are taken in a step of their own, before the generator: anything
+    # computed next to a generator is computed again for every row it makes.
+    # The outer form: the inner one would make Spark test the array for
+    # emptiness first, and so run the whole analysis twice.
     return (
         analyzed.select("doc_id", F.inline_outer(per_field))
-        .select("doc_id", "field", dl.alias("dl"), F.posexplode_outer("runs").alias("i", "run"))
+        .select("doc_id", "field", "runs", dl.alias("dl"))
+        .select("doc_id", "field", "runs", "dl", quantize_length(F.col("dl")).alias("dl_q"))
+        .select("doc_id", "field", "dl", "dl_q", F.posexplode_outer("runs").alias("i", "run"))
         .where(F.col("run").isNotNull())
         .select(
             "field",
@@ -88,7 +92,7 @@ def postings_of(analyzed: DataFrame, fields: Sequence[str] = FIELDS) -> DataFram
             "run.tf",
             "run.positions",
             "dl",
-            quantize_length(F.col("dl")).alias("dl_q"),
+            "dl_q",
             (F.col("i") == 0).alias("lead"),
         )
     )

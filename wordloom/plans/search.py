@@ -15,14 +15,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.functions.analysis import analyze
+from wordloom.functions.analysis import analyze_column
 from wordloom.functions.edits import edits_up_to
 from wordloom.operators import dictionary as D
 from wordloom.operators import phrases as PH
 from wordloom.operators import topk as TK
 from wordloom.operators.clauses import Clause, Query
 from wordloom.operators.scoring import SCORE_DIGITS, idf, model_key, term_score
-from wordloom.plans.store import Commit, IndexStore
+from wordloom.plans.store import Commit, IndexStore, local_rows
 
 # Up to this many rows a fetched result is handed to every task; a larger one
 # is joined in the way Spark finds best.
@@ -154,6 +154,8 @@ class Searcher:
         self.fields = tuple(fields or store.fields)
         self.at: Commit = store.commit()
         self._bucket_of: dict[str, int] = {}
+        # One row per field of this commit: constants of every plan below.
+        self.stats = {r["field"]: r for r in store.field_stats(self.at).collect()}
 
     # -- public -------------------------------------------------------------
 
@@ -186,7 +188,7 @@ class Searcher:
         Every term of a text is an optional clause on every field.
         """
         fields = F.explode(F.array(*[F.lit(f) for f in self.fields])).alias("field")
-        words = F.explode_outer(analyze(F.col("text"))).alias("term")
+        words = F.explode_outer(analyze_column("text")).alias("term")
         lookups = (
             queries.select("query_id", words)
             .where(F.col("term").isNotNull())
@@ -209,7 +211,10 @@ class Searcher:
         single = not isinstance(queries, Mapping) or len(queries) == 1
         hits = TK.top_k(self.score(queries), k, single)
         n = k if single else k * len(queries)
-        return self.fetch(hits, n).orderBy("query_id", "rank")
+        found = self.fetch(hits, n)
+        if n <= SMALL_RESULT:
+            return found.repartition(1).sortWithinPartitions("query_id", "rank")
+        return found.orderBy("query_id", "rank")
 
     def search_texts(self, queries: DataFrame, k: int = TK.RESULT_COUNT) -> DataFrame:
         return self.fetch(TK.top_k(self.score_texts(queries), k), None)
@@ -257,10 +262,9 @@ class Searcher:
         if not leaves:
             return {}
         texts = sorted({c.text for c in leaves})
-        # One slice: the work is a handful of short strings.
-        rows = self.spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+        rows = local_rows(self.spark, [{"text": t} for t in texts], "text string")
         found = (
-            rows.select("text", F.posexplode_outer(analyze(F.col("text"))).alias("pos", "term"))
+            rows.select("text", F.posexplode_outer(analyze_column("text")).alias("pos", "term"))
             .where(F.col("term").isNotNull())
             .withColumn("bucket", self.store.bucket(F.col("term")))
             .collect()
@@ -292,14 +296,19 @@ class Searcher:
             out = out.unionByName(p)
         return out
 
-    def _local(self, rows: list, schema: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema).coalesce(1)
+    def _of_field(self, column: str) -> Column:
+        """A statistic of the row's field, as a constant per field."""
+        value = F.lit(None).cast("double")
+        for name, row in self.stats.items():
+            value = F.when(F.col("field") == name, F.lit(float(row[column]))).otherwise(value)
+        return value
 
     def _with_idf(self, lookups: DataFrame) -> DataFrame:
-        """Add ``idf`` and ``avgdl``; the statistics are one row per field."""
-        stats = self.store.field_stats(self.at).select("field", "doc_count", "avgdl")
-        return lookups.join(F.broadcast(stats), "field").withColumn(
-            "idf", idf(self.model, F.col("df"), F.col("doc_count"))
+        return lookups.withColumns(
+            {
+                "idf": idf(self.model, F.col("df"), self._of_field("doc_count")),
+                "avgdl": self._of_field("avgdl"),
+            }
         )
 
     def _term_hits(self, postings: DataFrame, weighted: DataFrame) -> DataFrame:
@@ -325,8 +334,12 @@ class Searcher:
     def _hits_of_terms(self, terms: Counter) -> DataFrame:
         fields = [f for _, _, f, _ in terms]
         words = [w for _, _, _, w in terms]
-        lookups = self._local(
-            [(q, s, f, w, float(weight)) for (q, s, f, w), weight in terms.items()],
+        lookups = local_rows(
+            self.spark,
+            [
+                {"query_id": q, "slot": s, "field": f, "term": w, "weight": float(weight)}
+                for (q, s, f, w), weight in terms.items()
+            ],
             "query_id int, slot string, field string, term string, weight double",
         )
         dictionary = self._only(self.store.terms(self.at), fields, words).select("field", "term", "bucket", "df")
@@ -383,12 +396,18 @@ class Searcher:
                 rows.append((phrase_id, f, word, bucket, idx, pos - first, len(tokens), slop))
                 words.append(word)
                 fields.append(f)
-        phrase_terms = self._local(
-            rows,
+        names = ("phrase_id", "field", "term", "bucket", "idx", "shift", "n_terms", "slop")
+        phrase_terms = local_rows(
+            self.spark,
+            [dict(zip(names, r)) for r in rows],
             "phrase_id int, field string, term string, bucket int, idx int, shift int, n_terms int, slop int",
         )
-        info = self._local(
-            [(i, q, s, b) for i, (q, s, _, b, _, _) in enumerate(phrases)],
+        info = local_rows(
+            self.spark,
+            [
+                {"phrase_id": i, "query_id": q, "slot": s, "weight": float(b)}
+                for i, (q, s, _, b, _, _) in enumerate(phrases)
+            ],
             "phrase_id int, query_id int, slot string, weight double",
         )
         # One row per phrase and field: the idf of a phrase is the sum over

@@ -9,6 +9,7 @@ forward    one row per document: id, path, title, hash, its postings
 docs       ``doc_id, path, title, content_md5``, folders by hash of doc_id
 postings   ``field, term, doc_id, tf, positions, ...``, folders by hash of term
 terms      ``field, term, df, ttf, lead_docs``: deltas, folders by hash of term
+fields     ``field, doc_count, sum_dl``: deltas
 dead       ``doc_id, segment`` of replaced and removed documents
 changes    ``path, state``: what each sync found
 commits    one row per sync
@@ -24,8 +25,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from wordloom.operators import postings as P
 
@@ -35,6 +39,7 @@ SCHEMAS = {
     "postings": "field string, term string, doc_id bigint, tf int, positions array<int>, "
     "dl int, dl_q int, lead boolean, segment int, bucket int",
     "terms": "field string, term string, df bigint, ttf bigint, lead_docs bigint, segment int, bucket int",
+    "fields": "field string, doc_count bigint, sum_dl bigint, segment int",
     "dead": "doc_id bigint, segment int, version int",
     "changes": "path string, state string, old_doc_id bigint, old_segment int, version int",
     "commits": "segments array<int>, n_dead bigint, version int",
@@ -142,7 +147,8 @@ class IndexStore:
     def field_stats(self, at: Commit | None = None) -> DataFrame:
         """``field, doc_count, sum_dl, avgdl``: one row per field."""
         at = at or self.commit()
-        sums = P.field_statistics(self._read("terms", "segment", at.segments))
+        deltas = self._read("fields", "segment", at.segments)
+        sums = deltas.groupBy("field").agg(*[F.sum(c).alias(c) for c in ("doc_count", "sum_dl")])
         return sums.where("doc_count > 0").withColumn("avgdl", F.col("sum_dl") / F.col("doc_count"))
 
     def changes(self, version: int) -> DataFrame:
@@ -211,14 +217,29 @@ class IndexStore:
             terms.withColumn("bucket", self.bucket(F.col("term"))), "terms", segment, "bucket", ["field", "term"]
         )
 
+        self._write(
+            P.field_statistics(self._read("terms", "segment", [segment])).coalesce(1),
+            "fields",
+            "segment",
+            segment,
+        )
+
     def write_dead(self, dead: DataFrame, version: int) -> None:
         self._write(dead.select("doc_id", "segment"), "dead", "version", version)
 
     def publish(self, commit: Commit) -> None:
-        row = self.spark.createDataFrame(
-            [(list(commit.segments), commit.n_dead)], "segments array<int>, n_dead bigint"
+        row = local_rows(
+            self.spark,
+            [{"segments": list(commit.segments), "n_dead": commit.n_dead}],
+            "segments array<int>, n_dead bigint",
         )
-        self._write(row.coalesce(1), "commits", "version", commit.version)
+        self._write(row, "commits", "version", commit.version)
+
+
+def local_rows(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFrame:
+    """A handful of driver rows as a local relation, whose size Spark knows."""
+    types = StructType.fromDDL(schema)
+    return spark.createDataFrame(pa.Table.from_pylist(list(rows), to_arrow_schema(types)), types)
 
 
 def _exists(spark: SparkSession, folder: str) -> bool:
