@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, fields
 
 OCCURS = ("should", "must", "must_not")
 KINDS = ("term", "phrase", "prefix", "wildcard", "regexp", "fuzzy", "range", "all", "group")
@@ -87,3 +87,25 @@ def group(*clauses: Clause, **options) -> Clause:
 
 
 Query = Sequence[Clause]
+
+
+def from_rows(rows: Iterable[Mapping]) -> dict[int, list[Clause]]:
+    """Queries from rows of a clause table.
+
+    A row has ``query_id``, ``clause_id`` and the attributes of a clause under
+    their names; ``parent_id`` names the group it belongs to, if any.
+    """
+    children: dict[tuple, list[Mapping]] = {}
+    for row in rows:
+        children.setdefault((row["query_id"], row.get("parent_id")), []).append(row)
+
+    def clause(row: Mapping) -> Clause:
+        known = {k: v for k, v in row.items() if k in _ATTRIBUTES and v is not None}
+        inner = children.get((row["query_id"], row["clause_id"]), [])
+        return Clause(**known, clauses=tuple(clause(r) for r in inner))
+
+    roots = sorted({query_id for query_id, _ in children})
+    return {q: [clause(r) for r in children.get((q, None), [])] for q in roots}
+
+
+_ATTRIBUTES = {f.name for f in fields(Clause)} - {"clauses"}

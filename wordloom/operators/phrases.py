@@ -11,14 +11,22 @@ KEYS = ("phrase_id", "field", "doc_id")
 def phrase_candidates(postings: DataFrame, phrase_terms: DataFrame) -> DataFrame:
     """Documents that hold every term of a phrase, with all positions.
 
-    ``phrase_terms``: ``phrase_id, field, term, idx, shift, n_terms``; a term
-    at ``shift`` in the phrase has to stand at ``shift`` after its start.  A
-    group is one document, so its size is bounded by that document; positions
-    travel as arrays and are not exploded before the shuffle.
+    ``phrase_terms``: ``phrase_id, field, term, bucket, idx, shift, n_terms,
+    slop, rarest``; a term at ``shift`` in the phrase has to stand at ``shift``
+    after its start.  Only documents of the rarest term can match, so the
+    frequent terms are cut down to those before anything is grouped.  A group
+    is one document, so its size is bounded by that document; positions travel
+    as arrays and are not exploded before the shuffle.
     """
-    return (
+    rows = (
         postings.select("field", "term", "doc_id", "dl_q", "positions", "bucket")
         .join(F.broadcast(phrase_terms), ["field", "term", "bucket"])
+        .select(*KEYS, "dl_q", "n_terms", "slop", "idx", "shift", "positions", "rarest")
+    )
+    rare = rows.where("rarest")
+    others = rows.where("not rarest").join(rare.select(*KEYS), list(KEYS), "left_semi")
+    return (
+        rare.unionByName(others)
         .groupBy(*KEYS)
         .agg(
             F.first("dl_q").alias("dl_q"),

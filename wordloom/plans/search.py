@@ -289,6 +289,7 @@ class Searcher:
             parts.append(self._hits_of_constants(work.constants))
         if work.alls:
             parts.append(self._hits_of_all(work.alls))
+        parts = [p for p in parts if p is not None]
         if not parts:
             return None
         out = parts[0]
@@ -388,54 +389,74 @@ class Searcher:
         # At most MAX_FUZZY_EXPANSIONS rows per clause and field.
         return self._term_hits(self.store.postings(self.at), F.broadcast(weighted))
 
-    def _hits_of_phrases(self, phrases: list) -> DataFrame:
-        rows, words, fields = [], [], []
-        for phrase_id, (_, _, f, _, slop, tokens) in enumerate(phrases):
-            first = tokens[0][0]
+    def _hits_of_phrases(self, phrases: list) -> DataFrame | None:
+        # The statistics of the terms, at most one row per term that was
+        # typed, give the idf of each phrase and tell its rarest term.
+        fields = [f for _, _, f, _, _, _ in phrases]
+        words = [w for *_, tokens in phrases for _, w, _ in tokens]
+        dictionary = self._only(self.store.terms(self.at), fields, words)
+        known = {
+            (r["field"], r["term"]): r
+            for r in self._with_idf(dictionary).select("field", "term", "df", "idf", "avgdl").collect()
+        }
+        rows, info, words = [], [], []
+        for phrase_id, (query_id, slot, f, boost, slop, tokens) in enumerate(phrases):
+            stats = [known.get((f, word)) for _, word, _ in tokens]
+            if None in stats:
+                continue  # a term that no document has
+            rarest = min(range(len(tokens)), key=lambda i: stats[i]["df"])
             for idx, (pos, word, bucket) in enumerate(tokens):
-                rows.append((phrase_id, f, word, bucket, idx, pos - first, len(tokens), slop))
+                rows.append(
+                    {
+                        "phrase_id": phrase_id,
+                        "field": f,
+                        "term": word,
+                        "bucket": bucket,
+                        "idx": idx,
+                        "shift": pos - tokens[0][0],
+                        "n_terms": len(tokens),
+                        "slop": slop,
+                        "rarest": idx == rarest,
+                    }
+                )
                 words.append(word)
-                fields.append(f)
-        names = ("phrase_id", "field", "term", "bucket", "idx", "shift", "n_terms", "slop")
-        phrase_terms = local_rows(
-            self.spark,
-            [dict(zip(names, r)) for r in rows],
-            "phrase_id int, field string, term string, bucket int, idx int, shift int, n_terms int, slop int",
-        )
-        info = local_rows(
-            self.spark,
-            [
-                {"phrase_id": i, "query_id": q, "slot": s, "weight": float(b)}
-                for i, (q, s, _, b, _, _) in enumerate(phrases)
-            ],
-            "phrase_id int, query_id int, slot string, weight double",
-        )
-        # One row per phrase and field: the idf of a phrase is the sum over
-        # its terms.
-        dictionary = self._only(self.store.terms(self.at), fields, words).select("field", "term", "df")
-        phrase_idf = (
-            self._with_idf(phrase_terms.join(dictionary, ["field", "term"]))
-            .groupBy("phrase_id")
-            .agg(F.sum("idf").alias("idf"), F.first("avgdl").alias("avgdl"))
-            .join(info, "phrase_id")
-        )
+            info.append(
+                {
+                    "phrase_id": phrase_id,
+                    "query_id": query_id,
+                    "slot": slot,
+                    "weight": float(boost),
+                    "idf": sum(s["idf"] for s in stats),
+                    "avgdl": stats[0]["avgdl"],
+                }
+            )
+        if not rows:
+            return None
         postings = self._only(self.store.postings(self.at), fields, words)
+        schema = (
+            "phrase_id int, field string, term string, bucket int, idx int, shift int, "
+            "n_terms int, slop int, rarest boolean"
+        )
         frequencies = []
         for sloppy in (False, True):
-            chosen = [r for r in rows if (r[-1] > 0) == sloppy]
-            if chosen:
-                subset = phrase_terms.where(F.col("slop") > 0 if sloppy else F.col("slop") == 0)
-                candidates = PH.phrase_candidates(postings, subset)
-                frequencies.append(
-                    PH.sloppy_frequency(candidates, max(r[6] for r in chosen))
-                    if sloppy
-                    else PH.exact_frequency(candidates)
-                )
+            chosen = [r for r in rows if (r["slop"] > 0) == sloppy]
+            if not chosen:
+                continue
+            candidates = PH.phrase_candidates(postings, local_rows(self.spark, chosen, schema))
+            if sloppy:
+                frequencies.append(PH.sloppy_frequency(candidates, max(r["n_terms"] for r in chosen)))
+            else:
+                frequencies.append(PH.exact_frequency(candidates))
         freq = frequencies[0] if len(frequencies) == 1 else frequencies[0].unionByName(frequencies[1])
+        facts = local_rows(
+            self.spark,
+            info,
+            "phrase_id int, query_id int, slot string, weight double, idf double, avgdl double",
+        )
         score = F.col("weight") * term_score(
             self.model, F.col("idf"), F.col("freq"), F.col("dl_q"), F.col("avgdl")
         )
-        return freq.join(F.broadcast(phrase_idf), "phrase_id").select(
+        return freq.join(F.broadcast(facts), "phrase_id").select(
             "query_id", "slot", "doc_id", score.alias("score")
         )
 

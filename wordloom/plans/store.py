@@ -132,6 +132,15 @@ class IndexStore:
     def forward(self, at: Commit | None = None) -> DataFrame:
         return self._live("forward", at or self.commit())
 
+    def forward_segments(self, at: Commit) -> DataFrame:
+        """Stored documents of all segments, dead ones included."""
+        return self._read("forward", "segment", at.segments)
+
+    def segment_documents(self, segment: int) -> DataFrame:
+        """``doc_id, path, title, content_md5`` of one stored segment."""
+        forward = self._read("forward", "segment", [segment])
+        return forward.select("doc_id", "path", "title", "content_md5")
+
     def terms(self, at: Commit | None = None) -> DataFrame:
         """``field, term, df, ttf, lead_docs, bucket`` over live documents."""
         at = at or self.commit()
@@ -197,10 +206,8 @@ class IndexStore:
         share of the statistics is subtracted.
         """
         forward = self._read("forward", "segment", [segment]).drop("segment")
-        docs = forward.select("doc_id", "path", "title", "content_md5")
-        self._write_grouped(
-            docs.withColumn("shard", self.shard(F.col("doc_id"))), "docs", segment, "shard", ["doc_id"]
-        )
+        docs = self.segment_documents(segment).withColumn("shard", self.shard(F.col("doc_id")))
+        self._write_grouped(docs, "docs", segment, "shard", ["doc_id"])
         self._write_grouped(
             P.postings_of(forward, self.fields).withColumn("bucket", self.bucket(F.col("term"))),
             "postings",
@@ -224,6 +231,13 @@ class IndexStore:
             segment,
         )
 
+    def copy_forward(self, at: Commit, segment: int) -> None:
+        """Live stored documents into a segment of their own."""
+        self._write(self.forward(at).drop("segment"), "forward", "segment", segment)
+
+    def write_changes(self, events: DataFrame, version: int) -> None:
+        self._write(events, "changes", "version", version)
+
     def write_dead(self, dead: DataFrame, version: int) -> None:
         self._write(dead.select("doc_id", "segment"), "dead", "version", version)
 

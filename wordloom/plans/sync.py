@@ -46,9 +46,9 @@ def sync(
     """
     at = store.commit()
     hashed = _hashed(scan)
-    found = C.classify(
-        hashed.select("path", "content_md5"), _manifest_with_ids(store, at)
-    )
+    if not at.segments:
+        return _first_load(store, at, hashed, extractors, fallback)
+    found = C.classify(hashed.select("path", "content_md5"), _manifest_with_ids(store, at))
     return _apply(store, at, hashed, found, extractors, fallback)
 
 
@@ -91,6 +91,32 @@ def _manifest_with_ids(store: IndexStore, at: Commit) -> DataFrame:
     return store.docs(at).select("path", "content_md5", "doc_id", "segment")
 
 
+def _documents(todo: DataFrame, extractors, fallback) -> DataFrame:
+    return extract(todo, extractors, fallback) if "text" in todo.columns else todo
+
+
+def _first_load(store, at, hashed, extractors, fallback) -> SyncResult:
+    """Everything is new: one pass over the contents, nothing to compare."""
+    version = at.version + 1
+    store.write_forward(_documents(hashed, extractors, fallback), version)
+    loaded = store.segment_documents(version)
+    store.write_changes(
+        loaded.select(
+            "path",
+            F.lit("NEW").alias("state"),
+            F.lit(None).cast("bigint").alias("old_doc_id"),
+            F.lit(None).cast("int").alias("old_segment"),
+        ),
+        version,
+    )
+    counts = {"NEW": loaded.count()}
+    if counts["NEW"] == 0:
+        return SyncResult(store, at.version, version, counts)
+    store.write_segment(version, None)
+    store.publish(Commit(version, (version,), 0))
+    return SyncResult(store, version, version, counts)
+
+
 def _apply(store, at, hashed, found, extractors, fallback) -> SyncResult:
     version = at.version + 1
 
@@ -101,7 +127,7 @@ def _apply(store, at, hashed, found, extractors, fallback) -> SyncResult:
         .where(F.col("state") != "KNOWN")
         .select("path", "state", F.col("doc_id").alias("old_doc_id"), F.col("segment").alias("old_segment"))
     )
-    store._write(events, "changes", "version", version)
+    store.write_changes(events, version)
     counts = {s: seen.get.get(s, 0) for s in STATES}
     changes = store.changes(version)
     added = counts["NEW"] + counts["UPDATE"]
@@ -110,24 +136,22 @@ def _apply(store, at, hashed, found, extractors, fallback) -> SyncResult:
         return SyncResult(store, at.version, version, counts)
 
     # 2. Analyse the new and changed documents only.  The events are a stored
-    # table of known size, so Spark broadcasts a small batch and shuffles a
-    # large one; a first load needs no join at all.
-    todo = hashed
-    if counts["KNOWN"] + counts["REMOVED"] + counts["UPDATE"] > 0:
-        todo = hashed.join(C.changed(changes).select("path"), "path", "left_semi")
-    if "text" in todo.columns:
-        todo = extract(todo, extractors, fallback)
-
-    # 3. New tables of this segment, with the statistics of lost documents
-    # subtracted; the commit row comes last.
-    gone = changes.where(F.col("old_doc_id").isNotNull()).select(
-        F.col("old_doc_id").alias("doc_id"), F.col("old_segment").alias("segment")
-    )
+    # table of known size: Spark broadcasts a small one and shuffles by path
+    # for a large one.  Paths are unique, so that shuffle has no hot key.
+    todo = hashed.join(C.changed(changes).select("path"), "path", "left_semi")
+    if not added:
+        todo = todo.limit(0)
+    store.write_forward(_documents(todo, extractors, fallback), version)
+
+    # 3. The other tables of the segment, with the statistics of lost
+    # documents subtracted; the commit row comes last.
     gone_forward = None
     if lost:
-        gone_forward = store._read("forward", "segment", at.segments).join(gone, ["doc_id", "segment"], "left_semi")
+        gone = changes.where(F.col("old_doc_id").isNotNull()).select(
+            F.col("old_doc_id").alias("doc_id"), F.col("old_segment").alias("segment")
+        )
+        gone_forward = store.forward_segments(at).join(gone, ["doc_id", "segment"], "left_semi")
         store.write_dead(store.dead(at).unionByName(gone), version)
-    store.write_forward(todo if added else todo.limit(0), version)
     store.write_segment(version, gone_forward)
     store.publish(Commit(version, (*at.segments, version), at.n_dead + lost))
     return SyncResult(store, version, version, counts)
@@ -139,7 +163,7 @@ def compact(store: IndexStore) -> int:
     if len(at.segments) <= 1 and not at.n_dead:
         return at.version
     version = at.version + 1
-    store._write(store.forward(at).drop("segment"), "forward", "segment", version)
+    store.copy_forward(at, version)
     store.write_segment(version, None)
     store.publish(Commit(version, (version,), 0))
     return version
