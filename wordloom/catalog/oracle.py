@@ -198,15 +198,22 @@ def _sloppy(first: str, second: str, slop: int, fields=("content",)) -> str:
     return f"""{_index(fields)},
 pts AS (SELECT field, doc_id, 0 AS idx, pos AS x FROM terms WHERE term = {_q(first)}
   UNION ALL SELECT field, doc_id, 1, pos - 1 FROM terms WHERE term = {_q(second)}),
-nxt AS (SELECT *,
-  lead(idx) OVER (PARTITION BY field, doc_id ORDER BY x, idx) AS next_idx,
-  lead(x) OVER (PARTITION BY field, doc_id ORDER BY x, idx) AS next_x,
-  lead(x) OVER (PARTITION BY field, doc_id, idx ORDER BY x) AS own_x FROM pts),
-win AS (SELECT field, doc_id, x,
-  (SELECT min(o.x) FROM pts o WHERE o.field = nxt.field AND o.doc_id = nxt.doc_id AND o.idx <> nxt.idx
-     AND (o.x > nxt.x OR (o.x = nxt.x AND o.idx > nxt.idx))) AS other_x, own_x FROM nxt),
+places AS (SELECT field, doc_id, x, list_sort(list(idx), 'DESC') AS h FROM pts GROUP BY ALL),
+place1 AS (SELECT *, coalesce(len(h) > 1 AND lag(h[1]) OVER w = h[1], false) AS opp,
+  coalesce(len(h) > 1 AND lag(h[2]) OVER w = h[1], false) AS same
+  FROM places WINDOW w AS (PARTITION BY field, doc_id ORDER BY x)),
+place2 AS (SELECT *, sum(CASE WHEN opp THEN 1 ELSE 0 END) OVER (PARTITION BY field, doc_id ORDER BY x) AS opps FROM place1),
+place3 AS (SELECT *, max(CASE WHEN NOT opp AND NOT same THEN opps END)
+  OVER (PARTITION BY field, doc_id ORDER BY x) AS free FROM place2),
+place4 AS (SELECT *, lag(CASE WHEN (opps - coalesce(free, 0)) % 2 = 1 THEN h[2] ELSE h[1] END)
+  OVER (PARTITION BY field, doc_id ORDER BY x) AS turn_at FROM place3),
+place5 AS (SELECT field, doc_id, x, turn_at, unnest(h) AS idx FROM place4),
+walk AS (SELECT *, row_number() OVER (PARTITION BY field, doc_id
+  ORDER BY x, CASE WHEN idx = turn_at THEN -1 ELSE idx END) AS r FROM place5),
+win AS (SELECT *, lead(idx) OVER w AS next_idx, lead(x) OVER w AS other_x
+  FROM walk WINDOW w AS (PARTITION BY field, doc_id ORDER BY r)),
 freq AS (SELECT field, doc_id, sum(1.0 / (1 + other_x - x)) AS tf FROM win
-  WHERE other_x - x <= {slop} AND (own_x IS NULL OR own_x > other_x) GROUP BY ALL),
+  WHERE next_idx <> idx AND other_x - x <= {slop} GROUP BY ALL),
 pidf AS (SELECT field, sum(ln(1 + (n - df + 0.5) / (df + 0.5))) AS idf
   FROM dict JOIN stats USING (field) WHERE term IN ({_q(first)}, {_q(second)}) GROUP BY field)
 SELECT doc_id, round(sum(idf * tf / (tf + 1.2 * (0.25 + 0.75 * dl_q / avgdl))), 6) AS score

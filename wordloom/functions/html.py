@@ -39,7 +39,9 @@ HIDDEN = (
 COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 UP_TO_BODY = rf"(?is)\A.*?<body\b{_REST}"
 HEAD = rf"(?is)<head\b{_REST}.*?</head\s*>|<title\b{_REST}.*?</title\s*>"
-BLOCK = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})\b{_REST}"
+# Tags of the outermost elements make no element of their own after the start.
+_SPACED = "|".join(t for t in BLOCK_TAGS if t not in ("html", "body"))
+BLOCK = rf"(?i)</?(?:{_SPACED})\b{_REST}"
 OTHER_TAG = rf"(?i)</?[a-z]{_REST}|<[!?/][^>]*(?:>|\z)"
 TITLE = rf"(?is)<title\b{_REST}(.*?)</title\s*>"
 SPACE = "[ \\t\\n\\f\\r ]+"

@@ -61,13 +61,13 @@ def sloppy_frequency(candidates: DataFrame, max_terms: int) -> DataFrame:
     """Sum of 1 / (1 + distance) over the tightest windows within the slop.
 
     Shift every position back by its place in the phrase; a perfect match is
-    then a set of equal numbers.  For each shifted position x of one term, the
-    window is x and, of each other term, the nearest one not before x (equal
-    ones count as after x if their term comes later in the phrase).  The
-    distance is the width of the window.  Where the same term comes again
-    before any other term, only the later, tighter window counts.
+    then a set of equal numbers.  Walk over the shifted positions in order.
+    Where several in a row belong to the same term, only the last counts.  Its
+    window reaches to the farthest of the next positions of the other terms,
+    the distance is the width of that window, and where a term has no next
+    position the walk is over.
     """
-    shifted = candidates.select(*KEYS, "dl_q", "n_terms", "slop", F.explode("found").alias("t")).select(
+    points = candidates.select(*KEYS, "dl_q", "n_terms", "slop", F.explode("found").alias("t")).select(
         *KEYS,
         "dl_q",
         "n_terms",
@@ -75,31 +75,75 @@ def sloppy_frequency(candidates: DataFrame, max_terms: int) -> DataFrame:
         F.col("t.idx").alias("idx"),
         F.explode(_starts(F.col("t"))).alias("x"),
     )
-    # Backwards, so that "the next of term j" is a running last value.
-    later = (
-        Window.partitionBy(*KEYS)
-        .orderBy(F.desc("x"), F.desc("idx"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    nexts = {
-        f"next_{j}": F.last(F.when(F.col("idx") == j, F.col("x")), ignorenulls=True).over(later)
+    ordered = _walk_order(points)
+
+    # Backwards, so that "the next position of term j" is a running last value.
+    backwards = Window.partitionBy(*KEYS).orderBy(F.desc("x"), F.desc("turn"))
+    later = backwards.rowsBetween(Window.unboundedPreceding, -1)
+    nexts = [
+        F.when(
+            F.col("idx") != j,
+            F.last(F.when(F.col("idx") == j, F.col("x")), ignorenulls=True).over(later),
+        )
         for j in range(max_terms)
-    }
-    of_others = F.array(
-        *[F.when(F.col("idx") != j, F.col(f"next_{j}")) for j in range(max_terms)]
-    )
-    own = F.coalesce(*[F.when(F.col("idx") == j, F.col(f"next_{j}")) for j in range(max_terms)])
-    others = F.array_compact(of_others)
-    distance = F.array_max("others") - F.col("x")
+    ]
+    distance = F.array_max("nexts") - F.col("x")
     counted = (
-        (F.size("others") == F.col("n_terms") - 1)
-        & (F.col("own").isNull() | (F.col("own") > F.array_min("others")))
+        (F.size("nexts") == F.col("n_terms") - 1)
+        & (F.col("next_idx").isNull() | (F.col("next_idx") != F.col("idx")))
         & (distance <= F.col("slop"))
     )
     return (
-        shifted.withColumns(nexts)
-        .select(*KEYS, "dl_q", "n_terms", "slop", "x", own.alias("own"), others.alias("others"))
+        ordered.withColumn("next_idx", F.lag("idx").over(backwards))
+        .withColumn("nexts", F.array_compact(F.array(*nexts)))
         .where(counted)
         .groupBy(*KEYS)
         .agg(F.first("dl_q").alias("dl_q"), F.sum(1 / (1 + distance)).alias("freq"))
     )
+
+
+def _walk_order(points: DataFrame) -> DataFrame:
+    """Add ``turn``, the order of terms that share a shifted position.
+
+    The term whose turn it was just before goes first, the others follow in
+    phrase order.  So the last term of a place is its highest, or the second
+    highest if the highest had the turn when the place was reached.  Which of
+    the two depends on the place before: it is the same choice again, the
+    opposite one, or free of it.  Counting the opposites since the last free
+    place settles it without walking.
+    """
+    by_x = Window.partitionBy(*KEYS).orderBy("x")
+    places = (
+        points.groupBy(*KEYS, "x")
+        .agg(
+            F.first("dl_q").alias("dl_q"),
+            F.first("n_terms").alias("n_terms"),
+            F.first("slop").alias("slop"),
+            F.sort_array(F.collect_list("idx"), asc=False).alias("here"),
+        )
+        .withColumns({"high": F.get("here", F.lit(0)), "second": F.get("here", F.lit(1))})
+    )
+
+    def meets(earlier: str) -> Column:
+        same = F.lag(earlier).over(by_x) == F.col("high")
+        return F.coalesce((F.size("here") > 1) & same, F.lit(False))
+
+    return (
+        places.withColumns({"opposite": meets("high"), "same": meets("second")})
+        .withColumn("opposites", F.sum(F.col("opposite").cast("int")).over(by_x))
+        .withColumn(
+            "before",
+            F.last(
+                F.when(~F.col("opposite") & ~F.col("same"), F.col("opposites")), ignorenulls=True
+            ).over(by_x),
+        )
+        .withColumn(
+            "final",
+            F.when((F.col("opposites") - F.coalesce("before", F.lit(0))) % 2 == 1, F.col("second")).otherwise(
+                F.col("high")
+            ),
+        )
+        .withColumn("turn_at", F.lag("final").over(by_x))
+        .select(*KEYS, "dl_q", "n_terms", "slop", "x", "turn_at", F.explode("here").alias("idx"))
+        .withColumn("turn", F.when(F.col("idx") == F.col("turn_at"), -1).otherwise(F.col("idx")))
+    )
