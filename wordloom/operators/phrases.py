@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 KEYS = ("phrase_id", "field", "doc_id")
 
 
-def phrase_candidates(postings: DataFrame, phrase_terms: DataFrame) -> DataFrame:
+def phrase_candidates(postings: DataFrame, phrase_terms: DataFrame, few: bool) -> DataFrame:
     """Documents that hold every term of a phrase, with all positions.
 
     ``phrase_terms``: ``phrase_id, field, term, bucket, idx, shift, n_terms,
     slop, rarest``; a term at ``shift`` in the phrase has to stand at ``shift``
     after its start.  Only documents of the rarest term can match, so the
-    frequent terms are cut down to those before anything is grouped.  A group
+    frequent terms are cut down to those before anything is grouped; if they
+    are ``few``, before anything is shuffled.  A group
     is one document, so its size is bounded by that document; positions travel
     as arrays and are not exploded before the shuffle.
     """
@@ -24,7 +25,8 @@ def phrase_candidates(postings: DataFrame, phrase_terms: DataFrame) -> DataFrame
         .select(*KEYS, "dl_q", "n_terms", "slop", "idx", "shift", "positions", "rarest")
     )
     rare = rows.where("rarest")
-    others = rows.where("not rarest").join(rare.select(*KEYS), list(KEYS), "left_semi")
+    holders = rare.select(*KEYS)
+    others = rows.where("not rarest").join(F.broadcast(holders) if few else holders, list(KEYS), "left_semi")
     return (
         rare.unionByName(others)
         .groupBy(*KEYS)

@@ -24,9 +24,14 @@ from wordloom.operators.clauses import Clause, Query
 from wordloom.operators.scoring import SCORE_DIGITS, idf, model_key, term_score
 from wordloom.plans.store import Commit, IndexStore, local_rows
 
-# Up to this many rows a fetched result is handed to every task; a larger one
-# is joined in the way Spark finds best.
-SMALL_RESULT = 10_000
+# A side of a join is handed to every task only if it is known to have at most
+# this many rows (some tens of megabytes); a larger one is joined by shuffle,
+# where adaptive execution splits the partitions of frequent terms.
+BROADCAST_ROWS = 500_000
+
+# Up to this many terms are written into the plan as literals, which lets the
+# scan skip folders and row groups.
+LITERAL_TERMS = 2_000
 
 CONSTANT_KINDS = ("prefix", "wildcard", "regexp", "range")
 
@@ -144,6 +149,21 @@ def _all(tests) -> Column:
     return out
 
 
+def _lookup(query_id: int, slot: str, row, weight: float) -> dict:
+    """A term to look up; without an idf it has a constant score."""
+    found = row.asDict()
+    return {
+        "query_id": query_id,
+        "slot": slot,
+        "field": found["field"],
+        "term": found["term"],
+        "bucket": found["bucket"],
+        "weight": float(weight),
+        "idf": found.get("idf"),
+        "avgdl": found.get("avgdl"),
+    }
+
+
 class Searcher:
     """Searches one commit of an index."""
 
@@ -187,20 +207,33 @@ class Searcher:
 
         Every term of a text is an optional clause on every field.
         """
-        fields = F.explode(F.array(*[F.lit(f) for f in self.fields])).alias("field")
         words = F.explode_outer(analyze_column("text")).alias("term")
-        lookups = (
+        counted = (
             queries.select("query_id", words)
             .where(F.col("term").isNotNull())
             .groupBy("query_id", "term")
             .agg(F.count("*").cast("double").alias("weight"))
-            .select("query_id", "term", "weight", fields, self.store.bucket(F.col("term")).alias("bucket"))
+            .withColumn("bucket", self.store.bucket(F.col("term")))
+        )
+        # The size of the query table decides the plan.  These are two passes
+        # over the queries, never over the index.
+        n_lookups = counted.count() * len(self.fields)
+        distinct = counted.select("term", "bucket").distinct().limit(LITERAL_TERMS + 1).collect()
+        terms, postings = self.store.terms(self.at), self.store.postings(self.at)
+        if len(distinct) <= LITERAL_TERMS:
+            self._bucket_of.update({r["term"]: r["bucket"] for r in distinct})
+            words = [r["term"] for r in distinct]
+            terms, postings = (self._only(t, self.fields, words) for t in (terms, postings))
+
+        fields = F.explode(F.array(*[F.lit(f) for f in self.fields])).alias("field")
+        lookups = counted.select("query_id", "term", "weight", "bucket", fields)
+        small = n_lookups <= BROADCAST_ROWS
+        lookups = F.broadcast(lookups) if small else lookups
+        weighted = self._with_idf(
+            lookups.join(terms.select("field", "term", "bucket", "df"), ["field", "term", "bucket"])
         )
-        terms = self.store.terms(self.at).select("field", "term", "bucket", "df")
-        weighted = self._with_idf(lookups.join(terms, ["field", "term", "bucket"]))
-        postings = self.store.postings(self.at)
         return (
-            self._term_hits(postings, weighted)
+            self._term_hits(postings, F.broadcast(weighted) if small else weighted)
             .groupBy("query_id", "doc_id")
             .agg(F.round(F.sum("score"), SCORE_DIGITS).alias("score"))
         )
@@ -212,7 +245,7 @@ class Searcher:
         hits = TK.top_k(self.score(queries), k, single)
         n = k if single else k * len(queries)
         found = self.fetch(hits, n)
-        if n <= SMALL_RESULT:
+        if n <= BROADCAST_ROWS:
             return found.repartition(1).sortWithinPartitions("query_id", "rank")
         return found.orderBy("query_id", "rank")
 
@@ -222,7 +255,7 @@ class Searcher:
     def fetch(self, hits: DataFrame, n: int | None) -> DataFrame:
         """Stored fields of hits; only their document folders are read."""
         hits = hits.withColumn("shard", self.store.shard(F.col("doc_id")))
-        if n is not None and n <= SMALL_RESULT:
+        if n is not None and n <= BROADCAST_ROWS:
             hits = F.broadcast(hits)
         docs = self.store.docs(self.at).select("doc_id", "shard", "path", "title")
         return TK.with_stored_fields(hits, docs)
@@ -278,15 +311,20 @@ class Searcher:
     # -- hits ---------------------------------------------------------------
 
     def _hits(self, work: _Compiled) -> DataFrame | None:
-        parts = []
-        if work.terms:
-            parts.append(self._hits_of_terms(work.terms))
+        statistics = self._statistics(work)
+        lookups = self._term_lookups(work.terms, statistics)
         if work.fuzzies:
-            parts.append(self._hits_of_fuzzies(work.fuzzies))
-        if work.phrases:
-            parts.append(self._hits_of_phrases(work.phrases))
+            lookups += self._fuzzy_lookups(work.fuzzies)
+        parts = []
         if work.constants:
-            parts.append(self._hits_of_constants(work.constants))
+            few, expanded = self._constant_lookups(work.constants)
+            lookups += few
+            if expanded is not None:
+                parts.append(self._hits_of_many(expanded))
+        if lookups:
+            parts.append(self._hits_of_lookups(lookups))
+        if work.phrases:
+            parts.append(self._hits_of_phrases(work.phrases, statistics))
         if work.alls:
             parts.append(self._hits_of_all(work.alls))
         parts = [p for p in parts if p is not None]
@@ -313,8 +351,9 @@ class Searcher:
         )
 
     def _term_hits(self, postings: DataFrame, weighted: DataFrame) -> DataFrame:
-        score = F.col("weight") * term_score(
-            self.model, F.col("idf"), F.col("tf"), F.col("dl_q"), F.col("avgdl")
+        """Scores of terms; a lookup without an idf scores its weight."""
+        score = F.col("weight") * F.when(F.col("idf").isNull(), F.lit(1.0)).otherwise(
+            term_score(self.model, F.col("idf"), F.col("tf"), F.col("dl_q"), F.col("avgdl"))
         )
         slot = ["slot"] if "slot" in weighted.columns else []
         return (
@@ -332,29 +371,32 @@ class Searcher:
             & F.col("term").isin(*sorted(set(words)))
         )
 
-    def _hits_of_terms(self, terms: Counter) -> DataFrame:
-        fields = [f for _, _, f, _ in terms]
-        words = [w for _, _, _, w in terms]
-        lookups = local_rows(
-            self.spark,
-            [
-                {"query_id": q, "slot": s, "field": f, "term": w, "weight": float(weight)}
-                for (q, s, f, w), weight in terms.items()
-            ],
-            "query_id int, slot string, field string, term string, weight double",
-        )
-        dictionary = self._only(self.store.terms(self.at), fields, words).select("field", "term", "bucket", "df")
-        # At most one row per lookup, and the lookups are the query itself.
-        weighted = self._with_idf(lookups.join(dictionary, ["field", "term"]))
-        postings = self._only(self.store.postings(self.at), fields, words)
-        return self._term_hits(postings, F.broadcast(weighted))
+    def _statistics(self, work: _Compiled) -> dict:
+        """(field, term) -> df, idf, avgdl of the terms that were typed."""
+        fields = [f for _, _, f, _ in work.terms] + [f for _, _, f, _, _, _ in work.phrases]
+        words = [w for _, _, _, w in work.terms]
+        words += [w for *_, tokens in work.phrases for _, w, _ in tokens]
+        if not words:
+            return {}
+        dictionary = self._only(self.store.terms(self.at), fields, words)
+        rows = self._with_idf(dictionary).select("field", "term", "bucket", "df", "idf", "avgdl").collect()
+        return {(r["field"], r["term"]): r for r in rows}
+
+    def _term_lookups(self, terms: Counter, statistics: dict) -> list[dict]:
+        return [
+            _lookup(q, slot, statistics[f, w], weight)
+            for (q, slot, f, w), weight in terms.items()
+            if (f, w) in statistics
+        ]
 
-    def _hits_of_fuzzies(self, fuzzies: list) -> DataFrame:
+    def _fuzzy_lookups(self, fuzzies: list) -> list[dict]:
+        """At most MAX_FUZZY_EXPANSIONS terms per clause and field."""
         dictionary = self.store.terms(self.at).select("field", "term", "bucket", "df")
         length = F.length("term")
         expanded = None
-        for n, (query_id, slot, f, boost, clause) in enumerate(fuzzies):
+        for n, (_, _, f, _, clause) in enumerate(fuzzies):
             word = clause.text.lower()
+            closeness = 1.0 - F.col("edits") / F.least(F.lit(len(word)), length)
             near = (
                 dictionary.where(
                     (F.col("field") == f)
@@ -362,44 +404,81 @@ class Searcher:
                 )
                 .withColumn("edits", edits_up_to(F.col("term"), word, clause.max_edits))
                 .where("edits is not null")
-                .withColumn(
-                    "closeness",
-                    F.when(F.col("edits") == 0, 1.0).otherwise(
-                        1.0 - F.col("edits") / F.least(F.lit(len(word)), length)
-                    ),
-                )
+                .withColumn("closeness", F.when(F.col("edits") == 0, 1.0).otherwise(closeness))
                 .where("closeness > 0")
                 .orderBy(F.desc("closeness"), "term")
                 .limit(D.MAX_FUZZY_EXPANSIONS)
-                .select(
-                    F.lit(query_id).alias("query_id"),
-                    F.lit(slot).alias("slot"),
-                    F.lit(n).alias("clause"),
-                    "field",
-                    "term",
-                    "bucket",
-                    "df",
-                    (F.col("closeness") * boost).alias("weight"),
-                )
+                .withColumn("clause", F.lit(n))
             )
             expanded = near if expanded is None else expanded.unionByName(near)
         # The expansions of a clause share the largest document frequency.
         shared = F.max("df").over(Window.partitionBy("clause"))
-        weighted = self._with_idf(expanded.withColumn("df", shared)).drop("clause")
-        # At most MAX_FUZZY_EXPANSIONS rows per clause and field.
-        return self._term_hits(self.store.postings(self.at), F.broadcast(weighted))
-
-    def _hits_of_phrases(self, phrases: list) -> DataFrame | None:
-        # The statistics of the terms, at most one row per term that was
-        # typed, give the idf of each phrase and tell its rarest term.
-        fields = [f for _, _, f, _, _, _ in phrases]
-        words = [w for *_, tokens in phrases for _, w, _ in tokens]
-        dictionary = self._only(self.store.terms(self.at), fields, words)
-        known = {
-            (r["field"], r["term"]): r
-            for r in self._with_idf(dictionary).select("field", "term", "df", "idf", "avgdl").collect()
-        }
-        rows, info, words = [], [], []
+        rows = self._with_idf(expanded.withColumn("df", shared)).collect()
+        out = []
+        for r in rows:
+            query_id, slot, _, boost, _ = fuzzies[r["clause"]]
+            self._bucket_of[r["term"]] = r["bucket"]
+            out.append(_lookup(query_id, slot, r, boost * r["closeness"]))
+        return out
+
+    def _constant_lookups(self, constants: list) -> tuple[list[dict], DataFrame | None]:
+        """Terms of prefix, wildcard, regexp and range clauses.
+
+        One pass over the dictionary for all clauses.  A few terms come back
+        as rows for the plan, any larger number as a table.
+        """
+        matches, tests = [], []
+        for n, (_, _, f, _, clause) in enumerate(constants):
+            test = (F.col("field") == f) & D.term_test(clause, F.col("term"))
+            tests.append(test)
+            matches.append(F.when(test, F.lit(n)))
+        expanded = (
+            self.store.terms(self.at)
+            .where(_any(tests))
+            .select("field", "term", "bucket", F.explode_outer(F.array_compact(F.array(*matches))).alias("clause"))
+        )
+        rows = expanded.limit(LITERAL_TERMS + 1).collect()
+        if len(rows) > LITERAL_TERMS:
+            facts = [
+                {"clause": n, "query_id": q, "slot": slot, "score": float(boost)}
+                for n, (q, slot, _, boost, _) in enumerate(constants)
+            ]
+            facts = local_rows(self.spark, facts, "clause int, query_id int, slot string, score double")
+            return [], expanded.join(F.broadcast(facts), "clause").drop("clause")
+        out = []
+        for r in rows:
+            query_id, slot, _, boost, _ = constants[r["clause"]]
+            self._bucket_of[r["term"]] = r["bucket"]
+            out.append(_lookup(query_id, slot, r, boost))
+        return out, None
+
+    def _hits_of_lookups(self, lookups: list[dict]) -> DataFrame:
+        """The index lookup: terms, folders and weights are literals."""
+        weighted = local_rows(
+            self.spark,
+            lookups,
+            "query_id int, slot string, field string, term string, bucket int, "
+            "weight double, idf double, avgdl double",
+        )
+        postings = self._only(
+            self.store.postings(self.at), [r["field"] for r in lookups], [r["term"] for r in lookups]
+        )
+        small = len(lookups) <= BROADCAST_ROWS
+        return self._term_hits(postings, F.broadcast(weighted) if small else weighted)
+
+    def _hits_of_many(self, expanded: DataFrame) -> DataFrame:
+        """Constant scores for any number of terms."""
+        if expanded.count() <= BROADCAST_ROWS:
+            expanded = F.broadcast(expanded)
+        return (
+            self.store.postings(self.at)
+            .select("field", "term", "bucket", "doc_id")
+            .join(expanded, ["field", "term", "bucket"])
+            .select("query_id", "slot", "doc_id", "score")
+        )
+
+    def _hits_of_phrases(self, phrases: list, known: dict) -> DataFrame | None:
+        rows, info = [], []
         for phrase_id, (query_id, slot, f, boost, slop, tokens) in enumerate(phrases):
             stats = [known.get((f, word)) for _, word, _ in tokens]
             if None in stats:
@@ -419,7 +498,6 @@ class Searcher:
                         "rarest": idx == rarest,
                     }
                 )
-                words.append(word)
             info.append(
                 {
                     "phrase_id": phrase_id,
@@ -432,7 +510,9 @@ class Searcher:
             )
         if not rows:
             return None
-        postings = self._only(self.store.postings(self.at), fields, words)
+        postings = self._only(
+            self.store.postings(self.at), [r["field"] for r in rows], [r["term"] for r in rows]
+        )
         schema = (
             "phrase_id int, field string, term string, bucket int, idx int, shift int, "
             "n_terms int, slop int, rarest boolean"
@@ -442,7 +522,10 @@ class Searcher:
             chosen = [r for r in rows if (r["slop"] > 0) == sloppy]
             if not chosen:
                 continue
-            candidates = PH.phrase_candidates(postings, local_rows(self.spark, chosen, schema))
+            rare_rows = sum(known[r["field"], r["term"]]["df"] for r in chosen if r["rarest"])
+            candidates = PH.phrase_candidates(
+                postings, local_rows(self.spark, chosen, schema), rare_rows <= BROADCAST_ROWS
+            )
             if sloppy:
                 frequencies.append(PH.sloppy_frequency(candidates, max(r["n_terms"] for r in chosen)))
             else:
@@ -460,39 +543,6 @@ class Searcher:
             "query_id", "slot", "doc_id", score.alias("score")
         )
 
-    def _hits_of_constants(self, constants: list) -> DataFrame:
-        """One pass over the dictionary for all clauses, then the postings.
-
-        A pattern can stand for any number of terms, so nothing is collected
-        or broadcast by hand.
-        """
-        matches, tests = [], []
-        for query_id, slot, f, boost, clause in constants:
-            test = (F.col("field") == f) & D.term_test(clause, F.col("term"))
-            tests.append(test)
-            matches.append(
-                F.when(
-                    test,
-                    F.struct(
-                        F.lit(query_id).alias("query_id"),
-                        F.lit(slot).alias("slot"),
-                        F.lit(float(boost)).alias("score"),
-                    ),
-                )
-            )
-        expanded = (
-            self.store.terms(self.at)
-            .where(_any(tests))
-            .select("field", "term", "bucket", F.explode_outer(F.array_compact(F.array(*matches))).alias("m"))
-            .select("field", "term", "bucket", "m.*")
-        )
-        return (
-            self.store.postings(self.at)
-            .select("field", "term", "bucket", "doc_id")
-            .join(expanded, ["field", "term", "bucket"])
-            .select("query_id", "slot", "doc_id", "score")
-        )
-
     def _hits_of_all(self, alls: list) -> DataFrame:
         rows = F.array(
             *[
