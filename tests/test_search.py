@@ -248,6 +248,26 @@ def test_against_plain_python(corpus, answers, name, model):
         assert found[i] >= 0
 
 
+def test_plans_for_large_inputs_give_the_same(spark, corpus, answers, monkeypatch):
+    """Nothing broadcast, no term as a literal where the number may be large."""
+    monkeypatch.setattr("wordloom.plans.search.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("wordloom.plans.search.LITERAL_TERMS", 1)
+    monkeypatch.setattr("wordloom.plans.search.ONE_TASK_ROWS", 0)
+    _, store = corpus
+    searcher = Searcher(store)
+    names = ["deep", "phrase of three", "sloppy", "prefix", "wildcard", "constant must not"]
+    rows = searcher.score({i: CASES[n] for i, n in enumerate(names)}).collect()
+    for i, name in enumerate(names):
+        assert {r["doc_id"]: r["score"] for r in rows if r["query_id"] == i} == pytest.approx(
+            answers["ok", name], abs=2e-6
+        )
+    table = spark.createDataFrame([(0, "kal mun kal"), (1, "zol")], "query_id int, text string")
+    large = {(r["query_id"], r["rank"]): r["doc_id"] for r in searcher.search_texts(table, k=5).collect()}
+    for q, text in ((0, "kal mun kal"), (1, "zol")):
+        for r in searcher.search([T(text)], k=5).collect():
+            assert large[q, r["rank"]] == r["doc_id"]
+
+
 def test_many_queries_at_once(corpus):
     docs, store = corpus
     searcher = Searcher(store)

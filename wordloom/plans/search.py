@@ -29,6 +29,9 @@ from wordloom.plans.store import Commit, IndexStore, local_rows
 # where adaptive execution splits the partitions of frequent terms.
 BROADCAST_ROWS = 500_000
 
+# Up to this many results are sorted in one task.
+ONE_TASK_ROWS = 10_000
+
 # Up to this many terms are written into the plan as literals, which lets the
 # scan skip folders and row groups.
 LITERAL_TERMS = 2_000
@@ -245,17 +248,18 @@ class Searcher:
         hits = TK.top_k(self.score(queries), k, single)
         n = k if single else k * len(queries)
         found = self.fetch(hits, n)
-        if n <= BROADCAST_ROWS:
+        if n <= ONE_TASK_ROWS:
             return found.repartition(1).sortWithinPartitions("query_id", "rank")
         return found.orderBy("query_id", "rank")
 
     def search_texts(self, queries: DataFrame, k: int = TK.RESULT_COUNT) -> DataFrame:
-        return self.fetch(TK.top_k(self.score_texts(queries), k), None)
+        hits = TK.top_k(self.score_texts(queries), k)
+        return self.fetch(hits, k * queries.count())
 
-    def fetch(self, hits: DataFrame, n: int | None) -> DataFrame:
-        """Stored fields of hits; only their document folders are read."""
+    def fetch(self, hits: DataFrame, n: int) -> DataFrame:
+        """Stored fields of at most n hits; only their folders are read."""
         hits = hits.withColumn("shard", self.store.shard(F.col("doc_id")))
-        if n is not None and n <= BROADCAST_ROWS:
+        if n <= BROADCAST_ROWS:
             hits = F.broadcast(hits)
         docs = self.store.docs(self.at).select("doc_id", "shard", "path", "title")
         return TK.with_stored_fields(hits, docs)
