@@ -268,6 +268,22 @@ def test_plans_for_large_inputs_give_the_same(spark, corpus, answers, monkeypatc
             assert large[q, r["rank"]] == r["doc_id"]
 
 
+def test_anchored_on_required_terms(corpus, answers, monkeypatch):
+    from wordloom.plans import search
+
+    monkeypatch.setattr(search, "ANCHOR_GAIN", 0)
+    split = []
+    original = search._split_by_anchor
+    monkeypatch.setattr(search, "_split_by_anchor", lambda *a: split.append(original(*a)) or split[-1])
+    names = ["must", "must, several terms", "should", "required stop word", "open range", "group"]
+    rows = Searcher(corpus[1]).score({i: CASES[n] for i, n in enumerate(names)}).collect()
+    assert split[0][1] and split[0][2]
+    for i, name in enumerate(names):
+        assert {r["doc_id"]: r["score"] for r in rows if r["query_id"] == i} == pytest.approx(
+            answers["ok", name], abs=2e-6
+        )
+
+
 def test_many_queries_at_once(corpus):
     docs, store = corpus
     searcher = Searcher(store)

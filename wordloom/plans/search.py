@@ -29,6 +29,9 @@ from wordloom.plans.store import Commit, IndexStore, local_rows
 # where adaptive execution splits the partitions of frequent terms.
 BROADCAST_ROWS = 500_000
 
+# Required terms narrow the others down if those are this much more frequent.
+ANCHOR_GAIN = 4
+
 # Up to this many results are sorted in one task.
 ONE_TASK_ROWS = 10_000
 
@@ -49,6 +52,7 @@ class _Compiled:
     constants: list = field(default_factory=list)  # (query, slot, field, boost, clause)
     alls: list = field(default_factory=list)  # (query, slot, boost)
     trees: dict = field(default_factory=dict)  # query -> (match, score)
+    required: dict = field(default_factory=dict)  # query -> slots of its required terms
     n_sums: int = 0
     n_maxes: int = 0
 
@@ -67,7 +71,9 @@ class _QueryCompiler:
         setattr(self.out, total, max(getattr(self.out, total), n + 1))
         return f"{kind}_{n}"
 
-    def group(self, clauses: Sequence[Clause], boost: float) -> tuple[Column, Column] | None:
+    def group(
+        self, clauses: Sequence[Clause], boost: float, outermost: bool = False
+    ) -> tuple[Column, Column] | None:
         """(matched, score) of a group; None if nothing of it is left.
 
         Optional clauses with additive scores share one slot: whether any of
@@ -79,6 +85,8 @@ class _QueryCompiler:
             result = self.clause(clause, boost, shared if clause.occur == "should" else None)
             if result is not None:
                 parts[clause.occur].append(result)
+                if outermost and clause.occur == "must" and clause.kind == "term":
+                    self.out.required.setdefault(self.query_id, []).append(f"sums_{self.sums - 1}")
         if shared:
             parts["should"].append(_slot_result(shared))
         scoring = parts["must"] + parts["should"]
@@ -161,12 +169,39 @@ def _lookup(query_id: int, slot: str, row, weight: float) -> dict:
         "field": found["field"],
         "term": found["term"],
         "bucket": found["bucket"],
+        "df": found.get("df"),
         "weight": float(weight),
         "idf": found.get("idf"),
         "avgdl": found.get("avgdl"),
     }
 
 
+def _split_by_anchor(lookups: list[dict], required: Mapping) -> tuple[list, list, list]:
+    """(free, bound, anchors): lookups of the rarest required term of a query
+    are its anchors, and its other lookups are bound to their documents.
+
+    Only where the other terms are much more frequent, so that it pays to
+    read the anchors twice, and while all anchors together are few.
+    """
+    by_query: dict[int, list[dict]] = {}
+    for row in lookups:
+        by_query.setdefault(row["query_id"], []).append(row)
+    free, bound, anchors, room = [], [], [], BROADCAST_ROWS
+    for query_id, rows in by_query.items():
+        sizes = {
+            slot: sum(r["df"] for r in rows if r["slot"] == slot) for slot in required.get(query_id, [])
+        }
+        slot = min(sizes, key=sizes.get) if sizes else None
+        total = sum(r["df"] or 0 for r in rows)
+        if slot is None or sizes[slot] > room or total < ANCHOR_GAIN * sizes[slot]:
+            free += rows
+            continue
+        room -= sizes[slot]
+        anchors += [r for r in rows if r["slot"] == slot]
+        bound += [r for r in rows if r["slot"] != slot]
+    return (free, bound, anchors) if anchors and bound else (lookups, [], [])
+
+
 class Searcher:
     """Searches one commit of an index."""
 
@@ -273,7 +308,7 @@ class Searcher:
         tokens = self._analyze_clauses(queries)
         work = _Compiled()
         for query_id, clauses in queries.items():
-            tree = _QueryCompiler(query_id, self.fields, tokens, work).group(clauses, 1.0)
+            tree = _QueryCompiler(query_id, self.fields, tokens, work).group(clauses, 1.0, True)
             if tree is not None:
                 work.trees[query_id] = tree
         return work
@@ -326,7 +361,14 @@ class Searcher:
             if expanded is not None:
                 parts.append(self._hits_of_many(expanded))
         if lookups:
-            parts.append(self._hits_of_lookups(lookups))
+            free, bound, anchors = _split_by_anchor(lookups, work.required)
+            if free:
+                parts.append(self._hits_of_lookups(free))
+            if anchors:
+                anchored = self._hits_of_lookups(anchors)
+                holders = F.broadcast(anchored.select("query_id", "doc_id"))
+                others = self._hits_of_lookups(bound)
+                parts += [anchored, others.join(holders, ["query_id", "doc_id"], "left_semi").select(anchored.columns)]
         if work.phrases:
             parts.append(self._hits_of_phrases(work.phrases, statistics))
         if work.alls:
