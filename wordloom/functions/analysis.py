@@ -57,10 +57,12 @@ STEP4 = (
 def token_pattern(dialect: str = "java") -> str:
     """The word regular expression for lower-case text, for Java or for RE2.
 
-    Both spell the same language.  The Java form adds a cheap test that skips
-    ASCII punctuation, puts Latin letters before the script look-ups, and uses
-    possessive quantifiers so that a run of any length is scanned without
-    recursion; nothing that follows a repetition ever needs a character back.
+    Both spell the same language.  The Java form tries a plain Latin word
+    first, which ends at ASCII white space or punctuation that joins nothing;
+    it adds a cheap test that skips such characters, puts Latin letters before
+    the script look-ups, and uses possessive quantifiers so that a run of any
+    length is scanned without recursion.  Nothing that follows a repetition
+    ever needs a character back.
     """
     java = dialect == "java"
     script, keep = (r"\p{Is%s}", "+") if java else (r"\p{%s}", "")
@@ -72,9 +74,11 @@ def token_pattern(dialect: str = "java") -> str:
     else:
         letters = rf"{letter}(?:{letter}|[{EXTEND}])*"
     digits = rf"\p{{Nd}}[\p{{Nd}}{EXTEND}]*{keep}"
+    ends = r"\x00-&(-\-/;-@\[-\^`{-\x7F"
+    plain = rf"[a-zß-öø-ÿ]++(?=[{ends}]|\.[{ends}]|\z)|" if java else ""
     skip = r"(?=[^\x00-/:-@\[-\^`{-©])" if java else ""
     return (
-        rf"{skip}(?:"
+        rf"{plain}{skip}(?:"
         rf"(?:{letters}(?:[{MID_LETTER}]{letters})*{keep}"
         rf"|{digits}(?:[{MID_NUMBER}]{digits})*{keep}"
         rf"|[_\p{{Nl}}][{EXTEND}]*{keep})+{keep}"
@@ -171,19 +175,19 @@ def _suffix_rules(word: Column, rules, condition: str) -> Column:
     )
 
 
-def _step_0(w: Column) -> Column:
-    return F.when(F.startswith(w, F.lit("y")), F.concat(F.lit("Y"), F.substring(w, 2, 1 << 30))).otherwise(w)
-
-
 def _step_1a(w: Column) -> Column:
     return F.when(
         _ends(w, "s"),
-        F.when(_ends(w, "sses") | _ends(w, "ies"), _cut(w, 2))
-        .when(_ends(w, "ss"), w)
-        .otherwise(_cut(w, 1)),
+        F.when(_ends(w, "sses") | _ends(w, "ies"), _cut(w, 2)).when(_ends(w, "ss"), w).otherwise(_cut(w, 1)),
     ).otherwise(w)
 
 
+def _start(w: Column) -> Column:
+    """A leading y as Y, then step 1a, which leaves first letters alone."""
+    marked = F.concat(F.lit("Y"), F.substring(_step_1a(w), 2, 1 << 30))
+    return F.when(F.startswith(w, F.lit("y")), marked).otherwise(_step_1a(w))
+
+
 def _double_consonant(w: Column) -> Column:
     last = F.substring(w, -1, 1)
     return (F.substring(w, -2, 1) == last) & (F.length(w) > 1) & ~last.isin(*"aeiouy")
@@ -228,20 +232,23 @@ def _step_4(w: Column) -> Column:
     return _suffix_rules(w, [(s, "") for s in STEP4], M_ABOVE_1)
 
 
-def _step_5a(w: Column) -> Column:
+def _step_5(w: Column) -> Column:
+    """Final -e, then one of a final -ll; the e does not count for m."""
     stem = _cut(w, 1)
-    return F.when(
-        (_ends(w, "e"))
-        & (stem.rlike(M_ABOVE_1) | (stem.rlike(M_IS_1) & ~stem.rlike(SHORT_SYLLABLE))),
-        stem,
-    ).otherwise(w)
-
-
-def _step_5b(w: Column) -> Column:
-    return F.when(_ends(w, "ll") & w.rlike(M_ABOVE_1), _cut(w, 1)).otherwise(w)
+    long = stem.rlike(M_ABOVE_1)
+    return (
+        F.when(
+            _ends(w, "e"),
+            F.when(long, F.when(_ends(w, "lle"), _cut(w, 2)).otherwise(stem))
+            .when(stem.rlike(M_IS_1) & ~stem.rlike(SHORT_SYLLABLE), stem)
+            .otherwise(w),
+        )
+        .when(_ends(w, "ll") & w.rlike(M_ABOVE_1), stem)
+        .otherwise(w)
+    )
 
 
-_STEPS = (_step_0, _step_1a, _step_1b, _step_1c, _step_2, _step_3, _step_4, _step_5a, _step_5b)
+_STEPS = (_start, _step_1b, _step_1c, _step_2, _step_3, _step_4, _step_5)
 
 
 def stem_all(words: Column) -> Column:
