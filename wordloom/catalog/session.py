@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from wordloom.plans.store import IndexStore
+from wordloom.plans.store import IndexStore, folders_for
 from wordloom.plans.sync import sync
 from wordloom.sources.files import documents_corpus, pages_scan, spread
 
@@ -32,7 +32,8 @@ def work_folder(spark: SparkSession) -> str:
 def _store(spark: SparkSession, sf_dir: str, corpus: str, make) -> IndexStore:
     key = (spark.sparkContext.applicationId, sf_dir, corpus)
     if key not in _stores:
-        store = IndexStore(spark, work_folder(spark))
+        n = folders_for(spark, f"{sf_dir}/{corpus}.parquet")
+        store = IndexStore(spark, work_folder(spark), buckets=n, shards=max(8, n // 4))
         sync(store, spread(make(spark, sf_dir), "doc_id"))
         _stores[key] = store
     return _stores[key]

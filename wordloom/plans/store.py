@@ -256,6 +256,18 @@ def local_rows(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFr
     return spark.createDataFrame(pa.Table.from_pylist(list(rows), to_arrow_schema(types)), types)
 
 
+def folders_for(spark: SparkSession, source: str, folder_bytes: int = 1 << 29) -> int:
+    """A number of index folders for a source of this size, 16 at least.
+
+    One per half gigabyte of input, up to 4096: beyond that the folders get
+    more files each instead of becoming more.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(source)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return min(4096, max(16, files.getContentSummary(path).getLength() // folder_bytes))
+
+
 def _exists(spark: SparkSession, folder: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     path = hadoop.Path(folder)
