@@ -66,10 +66,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Use every core on a small input; leave a large one as it is read.
 
     Text analysis is bound by CPU, and a table of a few files gives too few
-    scan tasks for it.  Above one scan task per core this adds no shuffle.
+    scan tasks for it, some of them empty where a file has few row groups.
+    From two scan tasks per core on this adds no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores, key) if df.rdd.getNumPartitions() < cores else df
+    wanted = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
 
 
 def documents_corpus(spark: SparkSession, folder: str) -> DataFrame:
