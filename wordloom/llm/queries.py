@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wordloom.llm import language, mixing, quality, sharding, tokens
+from wordloom.llm import contamination, exact, language, licenses, mixing, near, quality, sharding, tokens
 from wordloom.llm.common import load, remainder, whole
 
 
+def op1_exact_dedup(spark, sf):
+    return exact.deduplicate(load(spark, sf, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op2_near_dedup(spark, sf):
+    return near.classes(load(spark, sf, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op3_sharding(spark, sf):
     docs = load(spark, sf, "documents")
     rows = docs.withColumn("text_crc32", F.crc32(whole("text").cast("binary")))
@@ -15,6 +23,10 @@ def op3_sharding(spark, sf):
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_decontamination(spark, sf):
+    return contamination.matches(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+
+
 def op6_quality(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "text")
     held_out = remainder("doc_id", 5) == 0
@@ -23,6 +35,10 @@ def op6_quality(spark, sf):
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_licenses(spark, sf):
+    return licenses.scan(load(spark, sf, "documents"))
+
+
 def op8_mixing(spark, sf):
     mixed = mixing.copies(load(spark, sf, "documents"), ["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -45,5 +61,5 @@ def op10_language(spark, sf):
 
 
 def queries():
-    named = (op3_sharding, op6_quality, op8_mixing, op9_token_counts, op10_language)
+    named = (op1_exact_dedup, op2_near_dedup, op3_sharding, op4_decontamination, op6_quality, op7_licenses, op8_mixing, op9_token_counts, op10_language)
     return {f.__name__: f for f in named}
