@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wordloom.llm import contamination, exact, language, licenses, mixing, near, quality, sharding, tokens
+from wordloom.llm import contamination, exact, language, licenses, mixing, near, quality, repeats, sharding, tokens
 from wordloom.llm.common import load, remainder, whole
 
 
@@ -27,6 +27,10 @@ def op4_decontamination(spark, sf):
     return contamination.matches(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
 
 
+def op5_repeats(spark, sf):
+    return repeats.remove(load(spark, sf, "documents")).drop("kept")
+
+
 def op6_quality(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "text")
     held_out = remainder("doc_id", 5) == 0
@@ -61,5 +65,5 @@ def op10_language(spark, sf):
 
 
 def queries():
-    named = (op1_exact_dedup, op2_near_dedup, op3_sharding, op4_decontamination, op6_quality, op7_licenses, op8_mixing, op9_token_counts, op10_language)
+    named = (op1_exact_dedup, op2_near_dedup, op3_sharding, op4_decontamination, op5_repeats, op6_quality, op7_licenses, op8_mixing, op9_token_counts, op10_language)
     return {f.__name__: f for f in named}

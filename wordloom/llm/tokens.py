@@ -13,7 +13,7 @@ from wordloom.llm.common import whole
 # Characters of text handed to one call of the encoder.
 BATCH_CHARS = 1 << 20
 # Entries that a worker remembers; it forgets all beyond, which only costs time.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 
 
 class _Counter:
