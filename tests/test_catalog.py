@@ -26,7 +26,7 @@ def rounded(value):
     return round(value, 6) if isinstance(value, float) else value
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", entry_points.oracle_sql())
 def test_equals_sql(spark, tables, name):
     df = entry_points.queries()[name](spark, FOLDER)
     result = tables.execute(entry_points.oracle_sql()[name])
