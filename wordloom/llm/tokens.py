@@ -67,9 +67,9 @@ class _Counter:
         cut = [self.pieces(t) for t in texts]
         for mark, known in self.known.items():
             new = list({p for parts in cut for m, ps in parts if m == mark for p in ps} - known.keys())
-            for i in range(0, len(new), 8192):
-                block = new[i : i + 8192]
-                for p, e in zip(block, self.encoder.encode_batch([mark + p for p in block], add_special_tokens=False)):
+            for i in range(0, len(new), 2048):
+                block = new[i : i + 2048]
+                for p, e in zip(block, self.encoder.encode_batch_fast([mark + p for p in block], add_special_tokens=False)):
                     known[p] = len(e)
         return [sum(sum(map(self.known[m].__getitem__, ps)) for m, ps in parts) for parts in cut]
 
