@@ -40,3 +40,12 @@ def test_pages(spark, html, title, body):
 )
 def test_entities(spark, text, decoded):
     assert run(spark, text, decode_entities) == decoded
+
+
+def test_zero_padded_references(spark):
+    from pyspark.sql import functions as F
+
+    from wordloom.functions.html import decode_entities
+
+    text = "&#" + "0" * 60 + "65;&#x" + "0" * 60 + "42;&#99999999999999;&#0;"
+    assert spark.range(1).select(decode_entities(F.lit(text)).alias("t")).first().t == "AB��"

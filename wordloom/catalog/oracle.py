@@ -238,8 +238,7 @@ near AS (SELECT *, CASE WHEN term = {_q(word)} THEN 0 WHEN damerau_levenshtein(t
   FROM dict WHERE abs(length(term) - {len(word)}) <= 2),
 close AS (SELECT *, CASE WHEN d = 0 THEN 1.0 ELSE 1.0 - d / least(length(term), {len(word)}) END AS w
   FROM near WHERE d IS NOT NULL),
-best AS (SELECT * FROM close WHERE w > 0
-  QUALIFY row_number() OVER (PARTITION BY field ORDER BY w DESC, term) <= 50),
+best AS (SELECT * FROM close WHERE w > 0),
 shared AS (SELECT field, term, w, max(df) OVER (PARTITION BY field) AS df FROM best)
 SELECT doc_id, round(sum(w * {OK}), 6) AS score
 FROM shared JOIN post USING (field, term) JOIN stats USING (field) GROUP BY doc_id"""

@@ -18,11 +18,13 @@ _own_folder: list[str] = []
 def work_folder(spark: SparkSession) -> str:
     """A new folder under the shared one that the session names.
 
-    Only where the session names none, as in local tests, is it a temporary
-    folder of this machine.
+    A local session that names none, as in tests, gets a temporary folder; on
+    a cluster such a folder would be seen by one machine only, so it is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not (spark.sparkContext.master + "[").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="wordloom-"))
         shared = _own_folder[0]

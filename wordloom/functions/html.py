@@ -64,8 +64,10 @@ def decode_entities(text: Column) -> Column:
     names = F.from_json(F.lit(json.dumps(_NAMES)), "map<string,string>")
 
     def decoded(part: Column) -> Column:
-        digits = F.rtrim(F.substring(part, 3, 32), F.lit(";"))
-        hex_code = F.conv(F.substring(digits, 2, 32), 16, 10).cast("bigint")
+        # Leading zeros say nothing; more than nine digits without them are no character.
+        digits = F.regexp_replace(part, "^&#[xX]?0*(?=[0-9a-fA-F])|;$", "")
+        digits = F.when(F.length(digits) > 9, "0").otherwise(digits)
+        hex_code = F.conv(digits, 16, 10).cast("bigint")
         dec_code = F.conv(digits, 10, 10).cast("bigint")
         return (
             F.when(~F.startswith(part, F.lit("&")), part)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MANIFEST_SCHEMA = "path string, content_md5 string"
-
 
 def fingerprint(content: Column) -> Column:
     return F.md5(content)
@@ -52,7 +50,3 @@ def upsert(old: DataFrame, new: DataFrame, gone: DataFrame | None = None) -> Dat
 
 def select_paths(docs: DataFrame, paths: DataFrame) -> DataFrame:
     return docs.join(paths.select("path"), "path", "left_semi")
-
-
-def drop_paths(docs: DataFrame, paths: DataFrame) -> DataFrame:
-    return docs.join(paths.select("path"), "path", "left_anti")

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from .clauses import Clause
 
-# Fixed values.
-MAX_FUZZY_EXPANSIONS = 50
-
 
 def wildcard_pattern(text: str) -> tuple[str, str]:
     """(literal start, whole-term regular expression)."""

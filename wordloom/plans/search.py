@@ -436,7 +436,7 @@ class Searcher:
         ]
 
     def _fuzzy_lookups(self, fuzzies: list) -> list[dict]:
-        """At most MAX_FUZZY_EXPANSIONS terms per clause and field."""
+        """Every term within the edits, per clause and field."""
         dictionary = self.store.terms(self.at).select("field", "term", "bucket", "df")
         length = F.length("term")
         expanded = None
@@ -452,8 +452,6 @@ class Searcher:
                 .where("edits is not null")
                 .withColumn("closeness", F.when(F.col("edits") == 0, 1.0).otherwise(closeness))
                 .where("closeness > 0")
-                .orderBy(F.desc("closeness"), "term")
-                .limit(D.MAX_FUZZY_EXPANSIONS)
                 .withColumn("clause", F.lit(n))
             )
             expanded = near if expanded is None else expanded.unionByName(near)
