@@ -283,3 +283,14 @@ def test_language(spark, docs, nothing):
     assert all(0 <= r.score <= 1 for r in odd.collect())
     none = language.train(nothing, F.lit(True))
     assert {r.lang_pred for r in language.predict(docs, none).collect()} == {"und"}
+
+
+def test_remembered_vectors_stay_within_bytes():
+    rng = random.Random(5)
+    weights = near.idf(np.ones(near.DF_SLOTS + 1, np.int64))
+    known = near.Vectors(weights, most=100_000)
+    for text in [words(rng, n) for n in (100, 100, 3000, 100, 0)] * 3 + [words(rng, 90) for _ in range(100)]:
+        got, want = known[text], near.weighted(text, weights)
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+        assert known.held <= known.most
+    assert 0 < len(known) < 105
