@@ -55,16 +55,16 @@ def test_long_words_are_cut_and_long_runs_survive(spark):
 
 
 def test_stop_words_leave_gaps(spark):
-    (words,) = column(spark, ["This test is an awesome test!"], lambda c: drop_stop_words(tokenize(c)))
-    assert words == [None, "test", None, None, "awesome", "test"]
+    (words,) = column(spark, ["That river is a winding river!"], lambda c: drop_stop_words(tokenize(c)))
+    assert words == [None, "river", None, None, "winding", "river"]
 
 
 def test_whole_chain(spark):
-    (terms,) = column(spark, ["THIS IS MY WEBSITE or maybe just a simple test... See this magic trick?!"], analyze)
+    (terms,) = column(spark, ["IT IS OUR BRIDGE and next to it two shallow rivers... Call the ferry man?!"], analyze)
     kept = [(i, t) for i, t in enumerate(terms) if t]
     assert kept == [
-        (2, "my"), (3, "websit"), (5, "mayb"), (6, "just"), (8, "simpl"),
-        (9, "test"), (10, "see"), (12, "magic"), (13, "trick"),
+        (2, "our"), (3, "bridg"), (5, "next"), (8, "two"), (9, "shallow"),
+        (10, "river"), (11, "call"), (13, "ferri"), (14, "man"),
     ]
 
 

@@ -12,8 +12,8 @@ def run(spark, html, expr):
 @pytest.mark.parametrize(
     "html, title, body",
     [
-        (PAGE, "A very cool website!", "THIS IS MY WEBSITE or maybe just a simple test... See this magic trick?!"),
-        (TITLED, "This is a test", "There won't be any trigger here"),
+        (PAGE, "An old stone bridge!", "IT IS OUR BRIDGE and next to it two shallow rivers... Call the ferry man?!"),
+        (TITLED, "That is the river", "We shan't cross such a ford"),
         ("<p>no <b>ti</b>tle", "", "no title"),
         ("<body><p>a</p><p>b<br>c</p>d<img src=x>e</body>", "", "a b c de"),
         ('<title>t</title><body class="x>y">in</body>out', "t", "inout"),

@@ -14,16 +14,16 @@ from wordloom.plans.sync import sync
 from wordloom.sources.files import scan_files
 
 GOLDEN = {
-    ("test", "ok"): [("Test.html", 0.713534), ("Hey.txt", 0.245983), ("nother.txt", 0.209809), ("website.htm", 0.115056)],
-    ("test", "vs"): [("Test.html", 2.098612), ("Hey.txt", 0.998693), ("nother.txt", 0.864893), ("website.htm", 0.407715)],
-    ("test website", "ok"): [
-        ("website.htm", 0.932818), ("Test.html", 0.713534), ("Hey.txt", 0.245983), ("nother.txt", 0.209809),
+    ("river", "ok"): [("River.html", 0.713534), ("north.txt", 0.245983), ("south.txt", 0.209809), ("bridge.htm", 0.115056)],
+    ("river", "vs"): [("River.html", 2.098612), ("north.txt", 0.998693), ("south.txt", 0.864893), ("bridge.htm", 0.407715)],
+    ("river bridge", "ok"): [
+        ("bridge.htm", 0.932818), ("River.html", 0.713534), ("north.txt", 0.245983), ("south.txt", 0.209809),
     ],
-    ("test website", "vs"): [
-        ("website.htm", 2.258112), ("Test.html", 2.098612), ("Hey.txt", 0.998693), ("nother.txt", 0.864893),
+    ("river bridge", "vs"): [
+        ("bridge.htm", 2.258112), ("River.html", 2.098612), ("north.txt", 0.998693), ("south.txt", 0.864893),
     ],
-    ("to be or not to be", "ok"): [],
-    ("shakespear", "vs"): [],
+    ("then they will be at it", "ok"): [],
+    ("nothing", "vs"): [],
 }
 
 

@@ -55,13 +55,13 @@ def test_life_of_an_index(spark, sample_folder, tmp_path):
     assert content_of(store) == before
 
     folder = Path(sample_folder)
-    folder.joinpath("Hey.txt").write_text("a different text")
-    folder.joinpath("nother.txt").rename(folder / "nother.bak")
+    folder.joinpath("north.txt").write_text("a different text")
+    folder.joinpath("south.txt").rename(folder / "south.bak")
     folder.joinpath("New.txt").write_text("brand new test")
     changed = sync(store, scan_files(spark, sample_folder))
     assert changed.counts == counts(new=1, update=1, known=3, removed=1)
     assert changed.indexed_count == 2
-    assert names(changed.changes) == {("Hey.txt", "UPDATE"), ("nother.txt", "REMOVED"), ("New.txt", "NEW")}
+    assert names(changed.changes) == {("north.txt", "UPDATE"), ("south.txt", "REMOVED"), ("New.txt", "NEW")}
     after = content_of(store)
     assert after == fresh(spark, sample_folder, str(tmp_path / "fresh"))
 
@@ -72,7 +72,7 @@ def test_life_of_an_index(spark, sample_folder, tmp_path):
     fewer = sync(store, scan_files(spark, sample_folder, [".txt"]))
     assert fewer.counts == counts(known=3, removed=2)
 
-    folder.joinpath("Hey.txt").rename(folder / "Hi.txt")
+    folder.joinpath("north.txt").rename(folder / "Hi.txt")
     renamed = sync(store, scan_files(spark, sample_folder, [".txt"]))
     assert renamed.counts == counts(new=1, known=2, removed=1)
 
@@ -136,3 +136,26 @@ def test_sum_of_tf_is_sum_of_lengths(spark, sample_folder, tmp_path):
     sync(store, scan_files(spark, sample_folder))
     postings = store.postings()
     assert postings.agg(F.sum("tf")).first()[0] == postings.where("lead").agg(F.sum("dl")).first()[0]
+
+
+def test_layout_is_stored(spark, sample_folder, tmp_path):
+    root = str(tmp_path / "index")
+    sync(IndexStore(spark, root, buckets=3, shards=2), scan_files(spark, sample_folder))
+    plain = IndexStore(spark, root)
+    assert (plain.buckets, plain.shards) == (3, 2)
+    assert len(Searcher(plain).search([term("river")]).collect()) == 4
+    for other in ({"buckets": 5}, {"shards": 9}, {"fields": ["content"]}):
+        with pytest.raises(ValueError, match="the index at"):
+            IndexStore(spark, root, **other)
+
+
+def test_path_twice_is_refused(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "index"), buckets=2, shards=2)
+    once, double = [("a.txt", "x")], [("b.txt", "x"), ("b.txt", "y")]
+    with pytest.raises(ValueError, match="twice: b.txt"):
+        sync(store, spark.createDataFrame(double, "path string, text string"))
+    assert store.commit().version == 0
+    sync(store, spark.createDataFrame(once, "path string, text string"))
+    with pytest.raises(Exception, match="twice: b.txt"):
+        sync(store, spark.createDataFrame(once + double, "path string, text string"))
+    assert store.commit().version == 1

@@ -10,14 +10,20 @@ def fingerprint(content: Column) -> Column:
     return F.md5(content)
 
 
+def twice(path: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("the scan holds this path twice: "), path)).cast("string")
+
+
 def classify(scan: DataFrame, manifest: DataFrame) -> DataFrame:
     """``path, state, content_md5``: one row per path of either side.
 
     Only paths and hashes are shuffled, never contents.  Further columns of
-    the manifest come along for the known, changed and removed paths.
+    the manifest come along for the known, changed and removed paths.  A path
+    that the scan holds twice is an error that names it.
     """
     old = manifest.withColumnRenamed("content_md5", "old_md5")
-    new = scan.select("path", "content_md5")
+    new = scan.groupBy("path").agg(F.min("content_md5").alias("content_md5"), F.count("*").alias("n"))
+    new = new.select("path", F.when(F.col("n") > 1, twice(F.col("path"))).otherwise(F.col("content_md5")).alias("content_md5"))
     state = (
         F.when(F.col("old_md5").isNull(), "NEW")
         .when(F.col("content_md5").isNull(), "REMOVED")

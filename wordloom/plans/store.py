@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -42,7 +42,7 @@ SCHEMAS = {
     "fields": "field string, doc_count bigint, sum_dl bigint, segment int",
     "dead": "doc_id bigint, segment int, version int",
     "changes": "path string, state string, old_doc_id bigint, old_segment int, version int",
-    "commits": "segments array<int>, n_dead bigint, version int",
+    "commits": "segments array<int>, n_dead bigint, fields array<string>, buckets int, shards int, version int",
 }
 
 
@@ -58,22 +58,31 @@ class IndexStore:
 
     ``buckets`` is the number of term folders and ``shards`` that of document
     folders; choose them so that a folder holds a few files of the size the
-    file system likes (thousands for a very large corpus).
+    file system likes (thousands for a very large corpus).  The layout is part
+    of the index: a store that exists is opened without these arguments, and
+    one that differs from it is an error.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
-        fields: Sequence[str] = P.FIELDS,
-        buckets: int = 16,
-        shards: int = 8,
+        fields: Sequence[str] | None = None,
+        buckets: int | None = None,
+        shards: int | None = None,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.fields = tuple(fields)
-        self.buckets = buckets
-        self.shards = shards
+        newest = self._newest()
+        given = {"fields": fields and list(fields), "buckets": buckets, "shards": shards}
+        for name, default in (("fields", list(P.FIELDS)), ("buckets", 16), ("shards", 8)):
+            stored = newest and newest[name]
+            if stored and given[name] and stored != given[name]:
+                raise ValueError(f"the index at {self.root} has {name} {stored}, not {given[name]}")
+            given[name] = stored or given[name] or default
+        self.fields = tuple(given["fields"])
+        self.buckets = given["buckets"]
+        self.shards = given["shards"]
 
     # -- layout -------------------------------------------------------------
 
@@ -104,12 +113,15 @@ class IndexStore:
 
     def commit(self) -> Commit:
         """The newest commit; an empty one where there is no index yet."""
+        newest = self._newest()
+        return Commit(newest["version"], tuple(newest["segments"]), newest["n_dead"]) if newest else Commit()
+
+    def _newest(self) -> Row | None:
         folder = f"{self.root}/commits"
         if not _exists(self.spark, folder):
-            return Commit()
+            return None
         commits = self.spark.read.schema(SCHEMAS["commits"]).parquet(folder)
-        newest = commits.orderBy(F.desc("version")).limit(1).collect()
-        return Commit(newest[0]["version"], tuple(newest[0]["segments"]), newest[0]["n_dead"]) if newest else Commit()
+        return commits.orderBy(F.desc("version")).first()
 
     def dead(self, at: Commit) -> DataFrame:
         return self._read("dead", "version", [at.version] if at.n_dead else []).select("doc_id", "segment")
@@ -244,8 +256,16 @@ class IndexStore:
     def publish(self, commit: Commit) -> None:
         row = local_rows(
             self.spark,
-            [{"segments": list(commit.segments), "n_dead": commit.n_dead}],
-            "segments array<int>, n_dead bigint",
+            [
+                {
+                    "segments": list(commit.segments),
+                    "n_dead": commit.n_dead,
+                    "fields": list(self.fields),
+                    "buckets": self.buckets,
+                    "shards": self.shards,
+                }
+            ],
+            "segments array<int>, n_dead bigint, fields array<string>, buckets int, shards int",
         )
         self._write(row, "commits", "version", commit.version)
 

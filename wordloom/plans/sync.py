@@ -42,7 +42,8 @@ def sync(
 
     ``scan`` has ``path, text`` and may have ``bytes`` (hashed instead of the
     text), ``doc_id`` and ``title, content`` (then nothing is extracted).
-    Paths of the index that the scan lacks are removed.
+    Paths of the index that the scan lacks are removed; a path that occurs
+    twice is an error.
     """
     at = store.commit()
     hashed = _hashed(scan)
@@ -60,8 +61,8 @@ def apply_feed(
 ) -> SyncResult:
     """Apply rows ``path, text, ts`` and, optionally, ``deleted``.
 
-    The last version of a path wins.  Paths the feed does not name stay as
-    they are.  Applying the same feed again changes nothing.
+    The last version of a path wins; of versions with equal ``ts``, the one
+    with the larger hash.  Paths the feed does not name stay as they are.  Applying the same feed again changes nothing.
     """
     at = store.commit()
     if "deleted" not in feed.columns:
@@ -69,7 +70,7 @@ def apply_feed(
     others = [c for c in feed.columns if c not in ("path", "ts")]
     last = (
         feed.groupBy("path")
-        .agg(F.max_by(F.struct(*others), "ts").alias("last"))
+        .agg(F.max_by(F.struct(*others), F.struct("ts", F.xxhash64(*others))).alias("last"))
         .select("path", "last.*")
     )
     hashed = _hashed(last)
@@ -109,6 +110,9 @@ def _first_load(store, at, hashed, extractors, fallback) -> SyncResult:
         ),
         version,
     )
+    repeated = loaded.groupBy("path").count().where("count > 1").first()
+    if repeated:
+        raise ValueError(f"the scan holds this path twice: {repeated['path']}")
     counts = {"NEW": loaded.count()}
     if counts["NEW"] == 0:
         return SyncResult(store, at.version, version, counts)
