@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wordloom.llm import contamination, exact, language, licenses, mixing, near, quality, repeats, sharding, tokens
+from wordloom.llm import contamination, conversations, exact, language, licenses, mixing, near, quality, ranking, repeats, sharding, tokens
 from wordloom.llm.common import load, remainder, whole
 
 
@@ -64,6 +64,21 @@ def op10_language(spark, sf):
     return told.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op12_ranked_search(spark, sf):
+    found = ranking.rank(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+def op13_conversation_repair(spark, sf):
+    given = load(spark, sf, "conversations")
+    fixed = conversations.repair(conversations.damage(given))
+    ids = given.select("conv_id", conversations._conv().alias("conv")).distinct()
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")
+    found = ids.join(fixed.conversations.drop("conv_id"), "conv", "left").join(conversations.digests(fixed.lines), "conv", "left")
+    return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
 def queries():
-    named = (op1_exact_dedup, op2_near_dedup, op3_sharding, op4_decontamination, op5_repeats, op6_quality, op7_licenses, op8_mixing, op9_token_counts, op10_language)
+    named = (op1_exact_dedup, op2_near_dedup, op3_sharding, op4_decontamination, op5_repeats, op6_quality, op7_licenses, op8_mixing, op9_token_counts, op10_language, op12_ranked_search, op13_conversation_repair)
     return {f.__name__: f for f in named}
