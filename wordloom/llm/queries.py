@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wordloom.llm import contamination, conversations, exact, language, licenses, mixing, near, quality, ranking, repeats, sharding, tokens
+from wordloom.llm import contamination, conversations, exact, language, licenses, mixing, near, overlap, quality, ranking, repeats, sharding, tokens
 from wordloom.llm.common import load, remainder, whole
 
 
@@ -64,6 +64,10 @@ def op10_language(spark, sf):
     return told.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_shingle_join(spark, sf):
+    return overlap.linked(load(spark, sf, "documents"))
+
+
 def op12_ranked_search(spark, sf):
     found = ranking.rank(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
     return found.select("item_id", "rank", "doc_id", "score")
@@ -80,5 +84,5 @@ def op13_conversation_repair(spark, sf):
 
 
 def queries():
-    named = (op1_exact_dedup, op2_near_dedup, op3_sharding, op4_decontamination, op5_repeats, op6_quality, op7_licenses, op8_mixing, op9_token_counts, op10_language, op12_ranked_search, op13_conversation_repair)
+    named = (op1_exact_dedup, op2_near_dedup, op3_sharding, op4_decontamination, op5_repeats, op6_quality, op7_licenses, op8_mixing, op9_token_counts, op10_language, op11_shingle_join, op12_ranked_search, op13_conversation_repair)
     return {f.__name__: f for f in named}

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.llm.common import whole, written
+from wordloom.sources.files import spread
 
 RESULTS = 10
 # Owners that the terms are dealt to; a bundle visits them in turn.
@@ -73,15 +74,16 @@ def _holders(docs: DataFrame, terms: DataFrame) -> DataFrame:
             for i, text in zip(batch.id, batch.text):
                 found = _TERM_BYTES.findall(text.encode("utf-8", "replace").lower())
                 if found:
-                    tf = Counter([t for t in found if known[t]])
+                    tf = [(t, n) for t, n in Counter(found).items() if known[t]]
                     ids.append(i)
                     sizes.append(len(found))
-                    names.append([t.decode("utf-8", "replace") for t in tf])
-                    tfs.append(list(tf.values()))
+                    names.append([t.decode("utf-8", "replace") for t, _ in tf])
+                    tfs.append([n for _, n in tf])
             yield pd.DataFrame({"id": pd.array(ids, dtype="Int64"), "n": sizes, "terms": names, "tfs": tfs})
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), whole("text").alias("text"))
-    counted = texts.mapInPandas(count, "id long, n long, terms array<string>, tfs array<long>")
+    texts = spread(docs.select(F.col("doc_id").cast("long").alias("id"), whole("text").alias("text")), "id")
+    # A table first: cutting ranges reads its input twice.
+    counted = written(texts.mapInPandas(count, "id long, n long, terms array<string>, tfs array<long>"))
     order = F.asc_nulls_last("id")
     tied = F.monotonically_increasing_id().alias("_tied")
     ordered = counted.select("*", tied).repartitionByRange(order, "_tied").sortWithinPartitions(order, "_tied")
