@@ -36,5 +36,5 @@ def test_empty_table(spark, tmp_path):
 
 
 def test_registered():
-    assert {f"op{i}" for i in range(1, 11)} == {q.split("_")[0] for q in entry_points.queries() if q.startswith("op")}
+    assert {f"op{i}" for i in range(1, 14)} == {q.split("_")[0] for q in entry_points.queries() if q.startswith("op")}
     assert "pipeline" in entry_points.queries()

@@ -79,7 +79,8 @@ def _holders(docs: DataFrame, terms: DataFrame) -> DataFrame:
                     sizes.append(len(found))
                     names.append([t.decode("utf-8", "replace") for t, _ in tf])
                     tfs.append([n for _, n in tf])
-            yield pd.DataFrame({"id": pd.array(ids, dtype="Int64"), "n": sizes, "terms": names, "tfs": tfs})
+            if ids:
+                yield pd.DataFrame({"id": pd.array(ids, dtype="Int64"), "n": sizes, "terms": names, "tfs": tfs})
 
     texts = spread(docs.select(F.col("doc_id").cast("long").alias("id"), whole("text").alias("text")), "id")
     # A table first: cutting ranges reads its input twice.
