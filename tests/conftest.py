@@ -6,21 +6,21 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-PAGE = """<html><head><title>An old stone bridge!</title></head>
-<body><section><div>
-<h1>IT IS OUR BRIDGE</h1>
-<p>and next to it two shallow rivers...</p>
-<p>Call the ferry man?!</p>
-</div></section></body></html>
+MENU = """<!DOCTYPE html>
+<html lang="en"><head><meta charset="utf-8"><title>Menu &amp; prices</title>
+<script>var dough = "<p>not shown</p>";</script></head>
+<body><ul><li>Rye <b>lo</b>af</li><li>Oat loaf<ol><li>small</li><li>large</li></ol></li></ul>
+<table><tr><td>Dough</td><td>by the kilo</td></tr></table><!-- closed on Monday --></body></html>
 """
-TITLED = "<head><title>That is the river</title></head><body><p>We shan't cross such a ford</p></body>"
-# Two terms in several documents, a page with two fields, a page named by its title only, a text of stop words.
+STARTER = "<title>Dough from a sour starter</title><h2>Feed it daily</h2><p>Flour &amp; water, &quot;nothing else&quot;</p>"
+# A term twice, words of a script that do not count, a match in a title only, a text of stop words, apostrophes, folders.
 FILES = {
-    "north.txt": "That river is a winding river!\n",
-    "south.txt": "'Bout river\n",
-    "bridge.htm": PAGE,
-    "deep/Nothing.txt": "Then they will be at it!\n",
-    "deep/River.html": TITLED,
+    "bread.txt": "Knead the dough for ten minutes. Leave this dough under a cloth, then bake it.\n",
+    "oven.txt": "Steam makes crust: pour water into the hot oven.\n",
+    "menu.html": MENU,
+    "archive/starter.htm": STARTER,
+    "archive/1998/sign.txt": "There it was: no such!\n",
+    "archive/1998/letter.txt": "Don't ring; the baker's asleep.\n",
 }
 
 

@@ -55,16 +55,15 @@ def test_long_words_are_cut_and_long_runs_survive(spark):
 
 
 def test_stop_words_leave_gaps(spark):
-    (words,) = column(spark, ["That river is a winding river!"], lambda c: drop_stop_words(tokenize(c)))
-    assert words == [None, "river", None, None, "winding", "river"]
+    (words,) = column(spark, ["Leave this dough under a cloth, then bake it."], lambda c: drop_stop_words(tokenize(c)))
+    assert words == ["leave", None, "dough", "under", None, "cloth", None, "bake", None]
 
 
 def test_whole_chain(spark):
-    (terms,) = column(spark, ["IT IS OUR BRIDGE and next to it two shallow rivers... Call the ferry man?!"], analyze)
+    (terms,) = column(spark, ["Opening hours, EASTER and the holidays: we're baking from 4.30 to noon (not later)"], analyze)
     kept = [(i, t) for i, t in enumerate(terms) if t]
     assert kept == [
-        (2, "our"), (3, "bridg"), (5, "next"), (8, "two"), (9, "shallow"),
-        (10, "river"), (11, "call"), (13, "ferri"), (14, "man"),
+        (0, "open"), (1, "hour"), (2, "easter"), (5, "holidai"), (6, "we'r"), (7, "bake"), (8, "from"), (9, "4.30"), (11, "noon"), (13, "later"),
     ]
 
 

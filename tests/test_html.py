@@ -1,5 +1,5 @@
 import pytest
-from conftest import PAGE, TITLED
+from conftest import MENU, STARTER
 from pyspark.sql import functions as F
 
 from wordloom.functions.html import decode_entities, html_body_text, html_title
@@ -12,8 +12,8 @@ def run(spark, html, expr):
 @pytest.mark.parametrize(
     "html, title, body",
     [
-        (PAGE, "An old stone bridge!", "IT IS OUR BRIDGE and next to it two shallow rivers... Call the ferry man?!"),
-        (TITLED, "That is the river", "We shan't cross such a ford"),
+        (MENU, "Menu & prices", "Rye loaf Oat loaf small large Dough by the kilo"),
+        (STARTER, "Dough from a sour starter", 'Feed it daily Flour & water, "nothing else"'),
         ("<p>no <b>ti</b>tle", "", "no title"),
         ("<body><p>a</p><p>b<br>c</p>d<img src=x>e</body>", "", "a b c de"),
         ('<title>t</title><body class="x>y">in</body>out', "t", "inout"),

@@ -43,25 +43,25 @@ def test_life_of_an_index(spark, sample_folder, tmp_path):
     store = IndexStore(spark, str(tmp_path / "index"), buckets=3, shards=2)
 
     first = sync(store, scan_files(spark, sample_folder))
-    assert first.counts == counts(new=5)
-    assert first.indexed_count == 5
+    assert first.counts == counts(new=6)
+    assert first.indexed_count == 6
     assert names(first.changes) == {(Path(f).name, "NEW") for f in FILES}
     before = content_of(store)
-    assert before["fields"] == [("content", 4, 18), ("title", 5, 7)]
+    assert before["fields"] == [("content", 5, 34), ("title", 6, 10)]
 
     again = sync(store, scan_files(spark, sample_folder))
-    assert again.counts == counts(known=5)
+    assert again.counts == counts(known=6)
     assert again.version == first.version
     assert content_of(store) == before
 
     folder = Path(sample_folder)
-    folder.joinpath("north.txt").write_text("a different text")
-    folder.joinpath("south.txt").rename(folder / "south.bak")
+    folder.joinpath("bread.txt").write_text("a different text")
+    folder.joinpath("oven.txt").rename(folder / "oven.bak")
     folder.joinpath("New.txt").write_text("brand new test")
     changed = sync(store, scan_files(spark, sample_folder))
-    assert changed.counts == counts(new=1, update=1, known=3, removed=1)
+    assert changed.counts == counts(new=1, update=1, known=4, removed=1)
     assert changed.indexed_count == 2
-    assert names(changed.changes) == {("north.txt", "UPDATE"), ("south.txt", "REMOVED"), ("New.txt", "NEW")}
+    assert names(changed.changes) == {("bread.txt", "UPDATE"), ("oven.txt", "REMOVED"), ("New.txt", "NEW")}
     after = content_of(store)
     assert after == fresh(spark, sample_folder, str(tmp_path / "fresh"))
 
@@ -70,20 +70,20 @@ def test_life_of_an_index(spark, sample_folder, tmp_path):
     assert content_of(store) == after
 
     fewer = sync(store, scan_files(spark, sample_folder, [".txt"]))
-    assert fewer.counts == counts(known=3, removed=2)
+    assert fewer.counts == counts(known=4, removed=2)
 
-    folder.joinpath("north.txt").rename(folder / "Hi.txt")
+    folder.joinpath("bread.txt").rename(folder / "Hi.txt")
     renamed = sync(store, scan_files(spark, sample_folder, [".txt"]))
-    assert renamed.counts == counts(new=1, known=2, removed=1)
+    assert renamed.counts == counts(new=1, known=3, removed=1)
 
     (tmp_path / "empty").mkdir()
     emptied = sync(store, scan_files(spark, str(tmp_path / "empty")))
-    assert emptied.counts == counts(removed=3)
+    assert emptied.counts == counts(removed=4)
     assert content_of(store) == {"docs": [], "postings": [], "terms": [], "fields": []}
     assert Searcher(store).search([term("test")]).collect() == []
 
     back = sync(store, scan_files(spark, sample_folder, [".txt"]))
-    assert back.counts == counts(new=3)
+    assert back.counts == counts(new=4)
 
 
 def test_failed_run_leaves_nothing_visible(spark, sample_folder, tmp_path, monkeypatch):
@@ -96,7 +96,7 @@ def test_failed_run_leaves_nothing_visible(spark, sample_folder, tmp_path, monke
         with pytest.raises(RuntimeError):
             sync(store, scan_files(spark, sample_folder))
     assert content_of(store) == before
-    assert sync(store, scan_files(spark, sample_folder)).counts == counts(new=1, known=5)
+    assert sync(store, scan_files(spark, sample_folder)).counts == counts(new=1, known=6)
     assert content_of(store) == fresh(spark, sample_folder, str(tmp_path / "fresh"))
 
 
@@ -143,7 +143,7 @@ def test_layout_is_stored(spark, sample_folder, tmp_path):
     sync(IndexStore(spark, root, buckets=3, shards=2), scan_files(spark, sample_folder))
     plain = IndexStore(spark, root)
     assert (plain.buckets, plain.shards) == (3, 2)
-    assert len(Searcher(plain).search([term("river")]).collect()) == 4
+    assert len(Searcher(plain).search([term("dough")]).collect()) == 3
     for other in ({"buckets": 5}, {"shards": 9}, {"fields": ["content"]}):
         with pytest.raises(ValueError, match="the index at"):
             IndexStore(spark, root, **other)

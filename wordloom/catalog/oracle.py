@@ -300,6 +300,53 @@ qtokens AS (SELECT item_id, unnest(ws) AS word FROM qlists),
 qkept AS (SELECT item_id, word FROM qtokens WHERE word NOT IN {STOP}),"""
 
 
+def _batch(more_words: str) -> str:
+    """The best ten documents for each row of the words' table."""
+    return f"""{_index(FIELDS, more_words=more_words)},
+qterms AS (SELECT item_id AS query_id, stem AS term, count(*) AS w FROM qkept JOIN stems USING (word) GROUP BY ALL),
+total AS (SELECT query_id, doc_id, round(sum(w * {OK}), 6) AS score
+  FROM qterms JOIN post USING (term) JOIN dict USING (field, term) JOIN stats USING (field) GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+FROM total QUALIFY rank <= 10"""
+
+
+def _batch_words(text: str) -> str:
+    return BATCH_WORDS.replace(_words("text"), _words(text))
+
+
+# Clauses by number: 0, 1 and 3 are in a group, 4 is the whole text; 5 stands for the phrase, one place after the other.
+BOOL_WORDS = f"""qsplit AS (SELECT item_id, text, string_split(text, ' ') AS w FROM benchmark),
+qtexts AS (SELECT item_id, 0 AS c, w[1] AS t FROM qsplit UNION ALL SELECT item_id, 1, w[2] FROM qsplit
+  UNION ALL SELECT item_id, 3, w[4] FROM qsplit UNION ALL SELECT item_id, 2, w[5] FROM qsplit
+  UNION ALL SELECT item_id, 4, text FROM qsplit
+  UNION ALL SELECT item_id, 5, coalesce(w[1], '') || ' ' || coalesce(w[2], '') FROM qsplit),
+qlists AS (SELECT item_id, c, {_words("coalesce(t, '')")} AS ws FROM qtexts),
+qtokens AS (SELECT item_id, c, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM qlists),
+qkept AS (SELECT item_id, c, word, pos FROM qtokens WHERE word NOT IN {STOP}),"""
+
+BATCH_BOOL = f"""{_index(("content",), more_words=BOOL_WORDS)},
+qpos AS (SELECT item_id, c, stem AS term, pos - min(pos) OVER (PARTITION BY item_id, c) AS shift,
+  count(*) OVER (PARTITION BY item_id, c) AS n_terms FROM qkept JOIN stems USING (word)),
+qterms AS (SELECT item_id, c, term, count(*) AS w FROM qpos WHERE c <> 5 OR n_terms = 1 GROUP BY ALL),
+starts AS (SELECT item_id, doc_id, field, terms.pos - shift AS at, any_value(n_terms) AS n_terms, count(DISTINCT shift) AS met
+  FROM qpos JOIN terms USING (term) WHERE c = 5 AND n_terms > 1 GROUP BY ALL),
+freq AS (SELECT item_id, doc_id, field, count(*) AS tf FROM starts WHERE met = n_terms GROUP BY ALL),
+pidf AS (SELECT item_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5))) AS idf FROM qpos JOIN dict USING (term) JOIN stats USING (field)
+  WHERE c = 5 GROUP BY item_id),
+hit AS (SELECT item_id, c, doc_id, sum(w * {OK}) AS score
+  FROM qterms JOIN post USING (term) JOIN dict USING (field, term) JOIN stats USING (field) GROUP BY ALL
+  UNION ALL
+  SELECT item_id, 5, doc_id, idf * tf / (tf + 1.2 * (0.25 + 0.75 * dl_q / avgdl))
+  FROM freq JOIN pidf USING (item_id) JOIN dls USING (field, doc_id) JOIN stats USING (field)),
+grouped AS (SELECT DISTINCT item_id, true AS inner_there FROM qpos WHERE c IN (0, 1, 3)),
+per AS (SELECT item_id, doc_id, list(c) AS cs,
+  sum(score * CASE WHEN c IN (0, 1) THEN 2 WHEN c = 4 THEN 0.5 WHEN c = 5 THEN 1 ELSE 0 END) AS score FROM hit GROUP BY ALL)
+SELECT item_id AS query_id, doc_id, round(score, 6) AS score FROM per LEFT JOIN grouped USING (item_id)
+WHERE NOT list_contains(cs, 2) AND CASE WHEN inner_there
+  THEN (list_contains(cs, 0) OR list_contains(cs, 1)) AND NOT list_contains(cs, 3)
+  ELSE list_contains(cs, 4) OR list_contains(cs, 5) END"""
+
+
 def oracle_sql() -> dict[str, str]:
     both = FIELDS
     return {
@@ -343,12 +390,9 @@ FROM post""",
         "bm25_topk": _top([(0, "thing", 1), (0, "from", 1), (0, "nation", 1)]),
         "tfidf_topk": _top([(0, "thing", 1), (0, "from", 1), (0, "nation", 1)], VS),
         "bm25_multifield": _top([(0, "thing", 1), (0, "from", 1), (0, "42", 1)], OK, both),
-        "batch_topk": f"""{_index(both, more_words=BATCH_WORDS)},
-qterms AS (SELECT item_id AS query_id, stem AS term, count(*) AS w FROM qkept JOIN stems USING (word) GROUP BY ALL),
-total AS (SELECT query_id, doc_id, round(sum(w * {OK}), 6) AS score
-  FROM qterms JOIN post USING (term) JOIN dict USING (field, term) JOIN stats USING (field) GROUP BY ALL)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
-FROM total QUALIFY rank <= 10""",
+        "batch_topk": _batch(BATCH_WORDS),
+        "batch_topk_bounded": _batch(_batch_words("array_to_string(string_split(text, ' ')[1:5], ' ')")),
+        "batch_bool": BATCH_BOOL,
         "ranked_results": f"""{_index(both, PAGE_DOCS)}, {_clauses([(0, 'tion', 1), (0, 'html', 1), (0, 'from', 1)])}, {_scored()},
 total AS (SELECT doc_id, round(sum(score), 6) AS score FROM hit GROUP BY doc_id),
 best AS (SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, score

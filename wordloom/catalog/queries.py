@@ -13,6 +13,7 @@ from wordloom.operators import changes as C
 from wordloom.operators import clauses as Q
 from wordloom.operators import postings as P
 from wordloom.operators.topk import top_k
+from wordloom.plans.clause_table import score_clauses
 from wordloom.plans.search import Searcher
 from wordloom.plans.store import IndexStore
 from wordloom.plans.sync import sync
@@ -247,6 +248,39 @@ def batch_topk(spark, sf):
     return hits.select("query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
 
 
+def batch_topk_bounded(spark, sf):
+    """The first five words of each item, without scoring what cannot be among the best."""
+    words = F.array_join(F.slice(F.split("text", " "), 1, 5), " ")
+    texts = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.col("item_id").alias("query_id"), words.alias("text"))
+    hits = Searcher(documents_index(spark, sf)).top_texts(texts, 10)
+    return hits.select("query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
+
+
+def batch_bool(spark, sf):
+    """A query for each item: one of its first two words but not the fourth, never the
+    fifth; the whole text and a phrase raise the score."""
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text", F.split("text", " ").alias("w"))
+
+    def clause(n, parent, occur, kind, text, boost=1.0):
+        facts = {"clause_id": F.lit(n), "parent_id": F.lit(parent).cast("int"), "occur": F.lit(occur), "kind": F.lit(kind), "text": text, "boost": F.lit(boost)}
+        return F.struct(*[v.alias(k) for k, v in facts.items()])
+
+    def word(i):
+        return F.coalesce(F.get("w", F.lit(i)), F.lit(""))
+
+    clauses = F.array(
+        clause(9, None, "must", "group", F.lit(""), 2.0),
+        clause(0, 9, "should", "term", word(0)),
+        clause(1, 9, "should", "term", word(1)),
+        clause(3, 9, "must_not", "term", word(3)),
+        clause(2, None, "must_not", "term", word(4)),
+        clause(4, None, "should", "term", F.col("text"), 0.5),
+        clause(5, None, "should", "phrase", F.concat_ws(" ", word(0), word(1))),
+    )
+    table = items.select("query_id", F.inline(clauses))
+    return score_clauses(Searcher(documents_index(spark, sf), fields=CONTENT), table)
+
+
 def ranked_results(spark, sf):
     found = Searcher(pages_index(spark, sf)).search([Q.term("tion html from")], k=20)
     return found.select(F.col("rank").cast("bigint").alias("rank"), "score", "file_name", "display_title", "path")
@@ -276,7 +310,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         manifest_roundtrip, index_roundtrip, sync_full, stream_ingest,
         tokens, tokens_nostop, stems, normalised_terms,
         postings, doc_lengths, length_quantised, field_stats, term_dictionary,
-        bm25_topk, tfidf_topk, bm25_multifield, batch_topk, ranked_results, stored_fields, exact_path,
+        bm25_topk, tfidf_topk, bm25_multifield, batch_topk, batch_topk_bounded, batch_bool, ranked_results, stored_fields, exact_path,
     )
     return {f.__name__: f for f in named} | {
         "no_hits": _matches(Q.term("zzzznothere")),

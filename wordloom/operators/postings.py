@@ -108,11 +108,16 @@ def doc_lengths(postings: DataFrame) -> DataFrame:
 
 
 def term_dictionary(postings: DataFrame) -> DataFrame:
-    """``field, term, df, ttf, lead_docs``: sums, so dictionaries add up."""
+    """``field, term, df, ttf, lead_docs``: sums, so dictionaries add up.
+
+    ``max_tf`` and ``min_dl_q`` bound what the term can add to a score.
+    """
     return postings.groupBy("field", "term").agg(
         F.count("*").alias("df"),
         F.sum("tf").alias("ttf"),
         F.count_if("lead").alias("lead_docs"),
+        F.max("tf").alias("max_tf"),
+        F.min("dl_q").alias("min_dl_q"),
     )
 
 

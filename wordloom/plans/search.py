@@ -39,6 +39,13 @@ ONE_TASK_ROWS = 10_000
 # scan skip folders and row groups.
 LITERAL_TERMS = 2_000
 
+# Postings for each wanted result that give a query its first floor.
+FIRST_ROWS = 20
+
+# More than sums of the same scores in another order can differ by, and than
+# rounding to SCORE_DIGITS can.
+ROUNDING = 1e-5
+
 CONSTANT_KINDS = ("prefix", "wildcard", "regexp", "range")
 
 
@@ -245,6 +252,72 @@ class Searcher:
 
         Every term of a text is an optional clause on every field.
         """
+        weighted, postings, small = self._text_lookups(queries)
+        hits = self._term_hits(postings, F.broadcast(weighted) if small else weighted)
+        return hits.groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), SCORE_DIGITS).alias("score"))
+
+    def top_texts(self, queries: DataFrame, k: int = TK.RESULT_COUNT) -> DataFrame:
+        """The k best documents of ``score_texts`` for each query, ranked.
+
+        No document is scored that cannot be among them.  The rarest terms of
+        a query, of FIRST_ROWS * k postings together, give a first floor: the
+        k-th best sum they reach alone.  Terms are then ordered by frequency,
+        and the last ones that together cannot add up to the floor are left
+        out: a document without any of the others is below it.  The sums of
+        the others give a higher floor, and only a document that the terms
+        left out can lift over it is looked up in their postings, by its number.
+        """
+        TK.check_k(k)
+        weighted, postings, small = self._text_lookups(queries)
+        most = F.col("weight") * term_score(
+            self.model, F.col("idf"), F.col("max_tf"), F.col("min_dl_q"), F.col("avgdl")
+        )
+        by = Window.partitionBy("query_id").orderBy("df", "term", "field")
+        before = F.sum("df").over(by.rowsBetween(Window.unboundedPreceding, -1))
+        from_here = F.sum("most").over(by.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        terms = weighted.withColumn("most", most).withColumns(
+            {"before": F.coalesce(before, F.lit(0)), "from_here": from_here}
+        )
+        if small:
+            terms = self.spark.createDataFrame(terms.toArrow(), terms.schema)
+        sized = F.broadcast if small else (lambda t: t)
+
+        few = (F.col("before") == 0) | (F.col("before") + F.col("df") <= FIRST_ROWS * k)
+        first = self._sums(postings, sized(terms.where(few)))
+        terms = terms.join(sized(self._floors(first, k)), "query_id", "left")
+        floor = F.coalesce("floor", F.lit(0.0)) - ROUNDING
+        needed, rest = terms.where(F.col("from_here") >= floor), terms.where(F.col("from_here") < floor)
+        sums = self._sums(postings, sized(needed))
+        above = rest.groupBy("query_id").agg(F.max("from_here").alias("rest"), F.first("floor").alias("floor"))
+        above = above.join(sized(self._floors(sums, k).withColumnRenamed("floor", "higher")), "query_id", "left")
+        above = above.select("query_id", "rest", F.greatest("floor", "higher").alias("floor"))
+        open_ = sums.join(sized(above), "query_id", "left").where(
+            F.col("rest").isNull() | (F.col("score") + F.col("rest") >= F.col("floor") - ROUNDING)
+        )
+        asked = open_.select("query_id", "doc_id").join(
+            sized(rest.select("query_id", "field", "term", "bucket", "weight", "idf", "avgdl")), "query_id"
+        )
+        more = self._term_hits(postings, asked)
+        total = (
+            open_.select("query_id", "doc_id", "score")
+            .unionByName(more)
+            .groupBy("query_id", "doc_id")
+            .agg(F.round(F.sum("score"), SCORE_DIGITS).alias("score"))
+        )
+        return TK.top_k(total, k)
+
+    def _sums(self, postings: DataFrame, weighted: DataFrame) -> DataFrame:
+        hits = self._term_hits(postings, weighted)
+        return hits.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"))
+
+    def _floors(self, sums: DataFrame, k: int) -> DataFrame:
+        """The k-th best sum of each query that has k."""
+        best = TK.top_k(sums, k).groupBy("query_id").agg(F.min("score").alias("floor"), F.count("*").alias("n"))
+        return best.where(F.col("n") == k).drop("n")
+
+    def _text_lookups(self, queries: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+        """The terms of query texts with their statistics, the postings that
+        can hold them, and whether the terms are few enough for every task."""
         words = F.explode_outer(analyze_column("text")).alias("term")
         counted = (
             queries.select("query_id", words)
@@ -267,14 +340,8 @@ class Searcher:
         lookups = counted.select("query_id", "term", "weight", "bucket", fields)
         small = n_lookups <= BROADCAST_ROWS
         lookups = F.broadcast(lookups) if small else lookups
-        weighted = self._with_idf(
-            lookups.join(terms.select("field", "term", "bucket", "df"), ["field", "term", "bucket"])
-        )
-        return (
-            self._term_hits(postings, F.broadcast(weighted) if small else weighted)
-            .groupBy("query_id", "doc_id")
-            .agg(F.round(F.sum("score"), SCORE_DIGITS).alias("score"))
-        )
+        terms = terms.select("field", "term", "bucket", "df", "max_tf", "min_dl_q")
+        return self._with_idf(lookups.join(terms, ["field", "term", "bucket"])), postings, small
 
     def search(self, queries: Query | Mapping[int, Query], k: int = TK.RESULT_COUNT) -> DataFrame:
         """Ranked results with their stored fields, best first."""
@@ -288,8 +355,7 @@ class Searcher:
         return found.orderBy("query_id", "rank")
 
     def search_texts(self, queries: DataFrame, k: int = TK.RESULT_COUNT) -> DataFrame:
-        hits = TK.top_k(self.score_texts(queries), k)
-        return self.fetch(hits, k * queries.count())
+        return self.fetch(self.top_texts(queries, k), k * queries.count())
 
     def fetch(self, hits: DataFrame, n: int) -> DataFrame:
         """Stored fields of at most n hits; only their folders are read."""
@@ -397,14 +463,16 @@ class Searcher:
         )
 
     def _term_hits(self, postings: DataFrame, weighted: DataFrame) -> DataFrame:
-        """Scores of terms; a lookup without an idf scores its weight."""
+        """Scores of terms, of one document each if the lookups name it; a
+        lookup without an idf scores its weight."""
         score = F.col("weight") * F.when(F.col("idf").isNull(), F.lit(1.0)).otherwise(
             term_score(self.model, F.col("idf"), F.col("tf"), F.col("dl_q"), F.col("avgdl"))
         )
         slot = ["slot"] if "slot" in weighted.columns else []
+        document = ["doc_id"] if "doc_id" in weighted.columns else []
         return (
             postings.select("field", "term", "bucket", "doc_id", "tf", "dl_q")
-            .join(weighted, ["field", "term", "bucket"])
+            .join(weighted, ["field", "term", "bucket", *document])
             .select("query_id", *slot, "doc_id", score.alias("score"))
         )
 

@@ -8,7 +8,8 @@ leaves nothing visible and its rerun overwrites the same folders.
 forward    one row per document: id, path, title, hash, its postings
 docs       ``doc_id, path, title, content_md5``, folders by hash of doc_id
 postings   ``field, term, doc_id, tf, positions, ...``, folders by hash of term
-terms      ``field, term, df, ttf, lead_docs``: deltas, folders by hash of term
+terms      ``field, term, df, ttf, lead_docs, max_tf, min_dl_q``: deltas and
+           bounds, folders by hash of term
 fields     ``field, doc_count, sum_dl``: deltas
 dead       ``doc_id, segment`` of replaced and removed documents
 changes    ``path, state``: what each sync found
@@ -38,7 +39,7 @@ SCHEMAS = {
     "docs": "doc_id bigint, path string, title string, content_md5 string, segment int, shard int",
     "postings": "field string, term string, doc_id bigint, tf int, positions array<int>, "
     "dl int, dl_q int, lead boolean, segment int, bucket int",
-    "terms": "field string, term string, df bigint, ttf bigint, lead_docs bigint, segment int, bucket int",
+    "terms": "field string, term string, df bigint, ttf bigint, lead_docs bigint, max_tf int, min_dl_q int, segment int, bucket int",
     "fields": "field string, doc_count bigint, sum_dl bigint, segment int",
     "dead": "doc_id bigint, segment int, version int",
     "changes": "path string, state string, old_doc_id bigint, old_segment int, version int",
@@ -154,14 +155,21 @@ class IndexStore:
         return forward.select("doc_id", "path", "title", "content_md5")
 
     def terms(self, at: Commit | None = None) -> DataFrame:
-        """``field, term, df, ttf, lead_docs, bucket`` over live documents."""
+        """``field, term, df, ttf, lead_docs, max_tf, min_dl_q, bucket`` over live documents.
+
+        The last two are bounds: documents that are gone may have set them.
+        """
         at = at or self.commit()
         deltas = self._read("terms", "segment", at.segments)
         if len(at.segments) <= 1 and not at.n_dead:
             return deltas.drop("segment")
         return (
             deltas.groupBy("bucket", "field", "term")
-            .agg(*[F.sum(c).alias(c) for c in ("df", "ttf", "lead_docs")])
+            .agg(
+                *[F.sum(c).alias(c) for c in ("df", "ttf", "lead_docs")],
+                F.max("max_tf").alias("max_tf"),
+                F.min("min_dl_q").alias("min_dl_q"),
+            )
             .where("df > 0")
         )
 
@@ -231,7 +239,7 @@ class IndexStore:
         if dead_forward is not None:
             gone = P.term_dictionary(P.postings_of(dead_forward, self.fields))
             negated = gone.select("field", "term", *[(-F.col(c)).alias(c) for c in ("df", "ttf", "lead_docs")])
-            terms = terms.unionByName(negated)
+            terms = terms.unionByName(negated, allowMissingColumns=True)
         self._write_grouped(
             terms.withColumn("bucket", self.bucket(F.col("term"))), "terms", segment, "bucket", ["field", "term"]
         )
