@@ -39,3 +39,35 @@ def test_unnamed_paths_stay(spark, tmp_path):
     only = spark.createDataFrame([("z.txt", "more", 9)], "path string, text string, ts int")
     assert apply_feed(store, only).counts == {"NEW": 1, "UPDATE": 0, "KNOWN": 0, "REMOVED": 0}
     assert {r["path"] for r in store.docs().select(F.col("path")).collect()} == {"a.txt", "b.txt", "z.txt"}
+
+
+def texts(store):
+    return {r["path"]: r["content_md5"] for r in store.docs().collect()}
+
+
+def test_late_rows_change_nothing(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "index"), buckets=2, shards=2)
+    feed = lambda *rows: apply_feed(store, spark.createDataFrame(rows, SCHEMA))
+    feed(("a.txt", "newest", 5, False), ("b.txt", None, 5, True), ("c.txt", "one", 1, False))
+    before = content_of(store)
+    late = feed(("a.txt", "older", 2, False), ("b.txt", "late write", 4, False), ("c.txt", None, 0, True))
+    assert late.counts == {"NEW": 0, "UPDATE": 0, "KNOWN": 0, "REMOVED": 0}
+    assert content_of(store) == before
+    # A version that changes no text is remembered too.
+    feed(("c.txt", "one", 7, False))
+    feed(("c.txt", "two", 6, False))
+    assert content_of(store) == before
+    feed(("b.txt", "back", 6, False), ("c.txt", "two", 8, False))
+    whole = IndexStore(spark, str(tmp_path / "whole"), buckets=2, shards=2)
+    final = [("a.txt", "newest"), ("b.txt", "back"), ("c.txt", "two")]
+    sync(whole, spark.createDataFrame(final, "path string, text string"))
+    assert content_of(store) == content_of(whole)
+
+
+def test_equal_times_in_two_feeds(spark, tmp_path):
+    rows = [("a.txt", "one", 3, False), ("a.txt", "two", 3, False)]
+    stores = [IndexStore(spark, str(tmp_path / f"index{i}"), buckets=2, shards=2) for i in range(2)]
+    for store, order in zip(stores, (rows, rows[::-1])):
+        for row in order:
+            apply_feed(store, spark.createDataFrame([row], SCHEMA))
+    assert texts(stores[0]) == texts(stores[1])

@@ -159,3 +159,50 @@ def test_path_twice_is_refused(spark, tmp_path):
     with pytest.raises(Exception, match="twice: b.txt"):
         sync(store, spark.createDataFrame(once + double, "path string, text string"))
     assert store.commit().version == 1
+
+
+def test_update_reads_only_the_files_of_changed_documents(spark, tmp_path, monkeypatch):
+    rows = [(f"{i:03}.txt", f"word{i} and common") for i in range(200)]
+    frame = lambda rows: spark.createDataFrame(rows, "path string, text string").repartitionByRange(8, "path")
+    store = IndexStore(spark, str(tmp_path / "index"), buckets=2, shards=2)
+    sync(store, frame(rows))
+    read = []
+    forward_of = IndexStore.forward_of
+    monkeypatch.setattr(IndexStore, "forward_of", lambda *a: read.append(forward_of(*a)) or read[-1])
+    changed = [("001.txt", "another"), *rows[:1], *rows[2:-1]]
+    assert sync(store, frame(changed)).counts == counts(update=1, known=198, removed=1)
+    assert len([f for f in read[0].inputFiles() if "/forward/" in f]) == 2 and read[0].count() == 2
+    monkeypatch.setattr("wordloom.plans.store.NAMED_FILES", 1)
+    assert sync(store, frame(changed[1:-1])).counts == counts(known=197, removed=2)
+    whole = IndexStore(spark, str(tmp_path / "whole"), buckets=2, shards=2)
+    sync(whole, frame(changed[1:-1]))
+    assert content_of(store) == content_of(whole)
+
+
+def test_paths_that_share_a_number(spark, tmp_path, monkeypatch):
+    """With three first numbers only, most paths have to move."""
+    monkeypatch.setattr("wordloom.plans.store.path_number", lambda path, attempt: F.pmod(F.xxhash64(path, F.lit(attempt)), F.lit(3 if attempt == 0 else 5 if attempt == 1 else 1 << 40)))
+    frame = lambda rows: spark.createDataFrame(rows, "path string, text string")
+    rows = [(f"{i}.txt", f"word{i} common") for i in range(30)]
+    store = IndexStore(spark, str(tmp_path / "index"), buckets=2, shards=2)
+    sync(store, frame(rows[:20]))
+    first = {r["path"]: r["doc_id"] for r in store.docs().collect()}
+    assert len(set(first.values())) == 20
+    changed = [(p, t + " changed") for p, t in rows[5:]]
+    sync(store, frame(rows[:3] + changed))
+    now = {r["path"]: r["doc_id"] for r in store.docs().collect()}
+    assert len(set(now.values())) == len(now) == 28
+    assert all(now[p] == first[p] for p, _ in rows[:3])
+    monkeypatch.undo()
+    whole = IndexStore(spark, str(tmp_path / "whole"), buckets=2, shards=2)
+    sync(whole, frame(rows[:3] + changed))
+    assert content_of(store) == content_of(whole)
+
+
+def test_numbers_do_not_depend_on_partitions(spark, tmp_path):
+    numbers = []
+    for n in (1, 7):
+        store = IndexStore(spark, str(tmp_path / f"index{n}"), buckets=2, shards=2)
+        sync(store, spark.createDataFrame([(f"{i}.txt", "x") for i in range(20)], "path string, text string").repartition(n))
+        numbers.append({r["path"]: r["doc_id"] for r in store.docs().collect()})
+    assert numbers[0] == numbers[1]

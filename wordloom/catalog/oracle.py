@@ -372,6 +372,8 @@ UNION ALL SELECT source || '/' || doc_id || '.txt', trim(split_part(text, chr(10
         "index_roundtrip": f"{_index(both)} SELECT field, term, doc_id, tf, dl, dl_q FROM post",
         "sync_full": f"{_index(both)} SELECT field, term, df, CAST(ttf AS BIGINT) AS ttf FROM dict",
         "stream_ingest": f"WITH {DOCS} SELECT path, title, md5(content) AS content_md5 FROM docs",
+        "stream_late": f"""{_index(both, DOCS.replace("FROM documents", "FROM documents WHERE lang IS NOT NULL AND lang <> 'fr'"))}
+SELECT field, term, df, CAST(ttf AS BIGINT) AS ttf FROM dict""",
         # analysis
         "tokens": f"WITH {PLAIN_TOKENS} SELECT doc_id, pos, word FROM tokens",
         "tokens_nostop": f"WITH {PLAIN_TOKENS} SELECT doc_id, pos, word FROM tokens WHERE word NOT IN {STOP}",

@@ -164,6 +164,25 @@ def stream_ingest(spark, sf):
     return store.docs().select("path", "title", "content_md5")
 
 
+def stream_late(spark, sf):
+    """Three batches out of order: the present texts and deletions first, then older
+    versions of everything, then one version between; the statistics must be those of the newest."""
+    folder = work_folder(spark)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    path = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    rows = docs.select(path.alias("path"), "text", "lang")
+    gone = F.col("lang") == "fr"
+    newest = rows.where("lang <> 'es'").select("path", F.when(~gone, F.col("text")).alias("text"), F.lit(5).alias("ts"), gone.alias("deleted"))
+    older = rows.select("path", F.concat("text", F.lit(" older")).alias("text"), F.lit(2).alias("ts"), F.lit(False).alias("deleted"))
+    between = rows.where("lang in ('es', 'fr')").select("path", "text", F.lit(3).alias("ts"), F.lit(False).alias("deleted"))
+    store = IndexStore(spark, f"{folder}/index")
+    for batch in (newest, older, between):
+        batch.write.mode("append").parquet(f"{folder}/feed")
+        source = read_feed(spark, f"{folder}/feed", "path string, text string, ts int, deleted boolean")
+        ingest(store, source, f"{folder}/checkpoint", extractors={}).awaitTermination()
+    return store.terms().select("field", "term", "df", "ttf")
+
+
 # -- analysis -----------------------------------------------------------------
 
 
@@ -307,7 +326,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         scan_ext_filter, route_by_type, plain_docs, html_text, extractor_routes, content_md5,
         change_states, change_counts, removed_paths, upsert_docs, keyword_filter,
-        manifest_roundtrip, index_roundtrip, sync_full, stream_ingest,
+        manifest_roundtrip, index_roundtrip, sync_full, stream_ingest, stream_late,
         tokens, tokens_nostop, stems, normalised_terms,
         postings, doc_lengths, length_quantised, field_stats, term_dictionary,
         bm25_topk, tfidf_topk, bm25_multifield, batch_topk, batch_topk_bounded, batch_bool, ranked_results, stored_fields, exact_path,

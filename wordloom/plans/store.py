@@ -6,13 +6,15 @@ leaves nothing visible and its rerun overwrites the same folders.
 
 =========  ==================================================================
 forward    one row per document: id, path, title, hash, its postings
-docs       ``doc_id, path, title, content_md5``, folders by hash of doc_id
+docs       ``doc_id, path, title, content_md5, file``, folders by hash of doc_id;
+           ``file`` is the document's file of ``forward``
 postings   ``field, term, doc_id, tf, positions, ...``, folders by hash of term
 terms      ``field, term, df, ttf, lead_docs, max_tf, min_dl_q``: deltas and
            bounds, folders by hash of term
 fields     ``field, doc_count, sum_dl``: deltas
 dead       ``doc_id, segment`` of replaced and removed documents
 changes    ``path, state``: what each sync found
+seen       ``path, ts, hash``: the newest version of a path that a feed brought
 commits    one row per sync
 =========  ==================================================================
 
@@ -23,6 +25,7 @@ its folder, so it is read by many tasks.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -36,17 +39,21 @@ from wordloom.operators import postings as P
 
 RUNS = "array<struct<term: string, tf: int, positions: array<int>>>"
 SCHEMAS = {
-    "docs": "doc_id bigint, path string, title string, content_md5 string, segment int, shard int",
+    "docs": "doc_id bigint, path string, title string, content_md5 string, file string, segment int, shard int",
     "postings": "field string, term string, doc_id bigint, tf int, positions array<int>, "
     "dl int, dl_q int, lead boolean, segment int, bucket int",
     "terms": "field string, term string, df bigint, ttf bigint, lead_docs bigint, max_tf int, min_dl_q int, segment int, bucket int",
     "fields": "field string, doc_count bigint, sum_dl bigint, segment int",
     "dead": "doc_id bigint, segment int, version int",
-    "changes": "path string, state string, old_doc_id bigint, old_segment int, version int",
+    "changes": "path string, state string, old_doc_id bigint, old_segment int, old_file string, version int",
     "commits": "segments array<int>, n_dead bigint, fields array<string>, buckets int, shards int, version int",
 }
 
 
+# Up to this many files of documents are read by name, beyond it all of them.
+NAMED_FILES = 10_000
+
+
 @dataclass(frozen=True)
 class Commit:
     version: int = 0
@@ -145,14 +152,28 @@ class IndexStore:
     def forward(self, at: Commit | None = None) -> DataFrame:
         return self._live("forward", at or self.commit())
 
-    def forward_segments(self, at: Commit) -> DataFrame:
-        """Stored documents of all segments, dead ones included."""
-        return self._read("forward", "segment", at.segments)
+    def forward_of(self, at: Commit, documents: DataFrame) -> DataFrame:
+        """Stored documents ``doc_id, segment, file``; only their files are read."""
+        named = documents.select("segment", "file").distinct().limit(NAMED_FILES + 1).collect()
+        if not named:
+            stored = self._read("forward", "segment", [])
+        elif len(named) <= NAMED_FILES:
+            folder = f"{self.root}/forward"
+            files = [f"{self._folder('forward', 'segment', r['segment'])}/{r['file']}" for r in named]
+            stored = self.spark.read.schema(self._forward_schema()).option("basePath", folder).parquet(*files)
+        else:
+            stored = self._read("forward", "segment", at.segments)
+        return stored.join(documents.select("doc_id", "segment"), ["doc_id", "segment"], "left_semi")
 
     def segment_documents(self, segment: int) -> DataFrame:
-        """``doc_id, path, title, content_md5`` of one stored segment."""
+        """``doc_id, path, title, content_md5, file`` of one stored segment."""
         forward = self._read("forward", "segment", [segment])
-        return forward.select("doc_id", "path", "title", "content_md5")
+        return forward.select("doc_id", "path", "title", "content_md5", F.col("_metadata.file_name").alias("file"))
+
+    def seen(self) -> DataFrame | None:
+        """``path, ts, hash`` of what feeds brought; several rows for a path."""
+        folder = f"{self.root}/seen"
+        return self.spark.read.parquet(folder).drop("batch") if _exists(self.spark, folder) else None
 
     def terms(self, at: Commit | None = None) -> DataFrame:
         """``field, term, df, ttf, lead_docs, max_tf, min_dl_q, bucket`` over live documents.
@@ -199,15 +220,22 @@ class IndexStore:
         grouped = rows.hint("rebalance", F.col(by)).sortWithinPartitions(by, *order)
         self._write(grouped, table, "segment", segment, by)
 
-    def write_forward(self, documents: DataFrame, segment: int) -> None:
+    def remember(self, versions: DataFrame) -> None:
+        """Add ``path, ts, hash`` to what feeds have brought."""
+        versions.write.parquet(f"{self.root}/seen/batch={uuid.uuid4().hex}")
+
+    def write_forward(self, documents: DataFrame, segment: int, at: Commit, paths: DataFrame) -> None:
         """Analyse documents and store them with their ids.
 
+        A document without an id of its own gets a number from its path;
+        ``paths`` are the paths of the documents, ``at`` the commit before.
+
         This is the only step that touches text.  All other tables are made
         from the stored result, so a lost executor costs a few file splits and
         the ids, once written, stay what they are.
         """
         if "doc_id" not in documents.columns:
-            documents = documents.withColumn("doc_id", _assigned_id(segment))
+            documents = self._numbered(documents, at, paths.select("path"))
         texts = [F.col(f).alias(f) for f in self.fields]
         corpus = documents.select(
             F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -219,6 +247,39 @@ class IndexStore:
         analyzed = P.analyze_documents(corpus, self.fields).withColumnRenamed("stored_title", "title")
         self._write(analyzed, "forward", "segment", segment)
 
+    def _numbered(self, documents: DataFrame, at: Commit, paths: DataFrame) -> DataFrame:
+        """Documents with ``doc_id``, a 63-bit hash of the path.
+
+        Of paths that share a number, the one that is in the index keeps it,
+        else the first by name; the others take the hash of a next attempt
+        until all differ.  Only paths and numbers are shuffled for that, and
+        beyond the first attempt only those that met another.
+        """
+        known = self.docs(at).select("path", "doc_id").join(paths, "path", "left_anti") if at.segments else None
+        given = paths.withColumn("doc_id", path_number(F.col("path"), 0))
+        moved, attempt = [], 0
+        while True:
+            places = given.select("doc_id", F.struct(F.lit(1).alias("turn"), "path").alias("who"))
+            if known is not None:
+                places = places.unionByName(known.select("doc_id", F.struct(F.lit(0).alias("turn"), "path").alias("who")))
+            shared = places.groupBy("doc_id").agg(F.min("who").alias("keeper"), F.count("*").alias("n")).where("n > 1")
+            # A path that occurs twice is told by its own error, so it keeps its number here.
+            losers = given.join(shared, "doc_id").where(F.col("path") != F.col("keeper.path")).select("path").distinct()
+            names = losers.collect()  # about n * n / 2 ** 64 of n paths
+            if not names:
+                break
+            attempt += 1
+            losers = local_rows(self.spark, [r.asDict() for r in names], "path string")
+            again = losers.withColumn("doc_id", path_number(F.col("path"), attempt))
+            given = given.join(F.broadcast(losers), "path", "left_anti").unionByName(again)
+            moved = [m for m in moved if m["path"] not in {r["path"] for r in names}]
+            moved += [r.asDict() for r in again.collect()]
+        if not moved:
+            return documents.withColumn("doc_id", path_number(F.col("path"), 0))
+        moved = local_rows(self.spark, moved, "path string, doc_id bigint")
+        found = documents.join(F.broadcast(moved), "path", "left")
+        return found.withColumn("doc_id", F.coalesce("doc_id", path_number(F.col("path"), 0)))
+
     def write_segment(self, segment: int, dead_forward: DataFrame | None) -> None:
         """Docs, postings and term statistics of a stored segment.
 
@@ -302,14 +363,6 @@ def _exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
-def _assigned_id(segment: int) -> Column:
-    """A number of its own for each row of a segment, in 63 bits.
-
-    17 bits of segment, 18 of partition, 28 of row; anything larger is an
-    error instead of a collision.
-    """
-    partition = F.spark_partition_id().cast("bigint")
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    number = F.lit(segment).cast("bigint") * (1 << 46) + partition * (1 << 28) + row
-    too_large = (row >= (1 << 28)) | (partition >= (1 << 18)) | F.lit(segment >= 1 << 17)
-    return F.when(too_large, F.raise_error("segment too large for document numbers").cast("bigint")).otherwise(number)
+def path_number(path: Column, attempt: int) -> Column:
+    """A number of 63 bits for a path; another one for each attempt."""
+    return F.xxhash64(path, F.lit(attempt)).bitwiseAND(F.lit((1 << 63) - 1))

@@ -62,24 +62,31 @@ def apply_feed(
     """Apply rows ``path, text, ts`` and, optionally, ``deleted``.
 
     The last version of a path wins; of versions with equal ``ts``, the one
-    with the larger hash.  Paths the feed does not name stay as they are.  Applying the same feed again changes nothing.
+    with the larger hash.  The index remembers the version that won, of deleted
+    paths too, so an older row that comes with a later feed changes nothing.
+    Paths the feed does not name stay as they are.  Applying the same feed
+    again changes nothing.  ``ts`` keeps its type from feed to feed.
     """
     at = store.commit()
     if "deleted" not in feed.columns:
         feed = feed.withColumn("deleted", F.lit(False))
     others = [c for c in feed.columns if c not in ("path", "ts")]
-    last = (
-        feed.groupBy("path")
-        .agg(F.max_by(F.struct(*others), F.struct("ts", F.xxhash64(*others))).alias("last"))
-        .select("path", "last.*")
-    )
-    hashed = _hashed(last)
+    version = F.struct("ts", F.xxhash64(*others).alias("hash"))
+    last = feed.groupBy("path").agg(F.max_by(F.struct(*others), version).alias("last"), F.max(version).alias("version"))
+    seen = store.seen()
+    if seen is not None:
+        before = seen.join(last.select("path"), "path", "left_semi").groupBy("path").agg(F.max(F.struct("ts", "hash")).alias("before"))
+        last = last.join(before, "path", "left").where(F.col("before").isNull() | (F.col("version") >= F.col("before")))
+    hashed = _hashed(last.select("path", "last.*"))
     manifest = _manifest_with_ids(store, at)
     named = hashed.select("path", F.when(~F.col("deleted"), F.col("content_md5")).alias("content_md5"))
     found = C.classify(named, manifest.join(named.select("path"), "path", "left_semi")).where(
         F.col("content_md5").isNotNull() | F.col("doc_id").isNotNull()
     )
-    return _apply(store, at, hashed.drop("deleted"), found, extractors, fallback)
+    result = _apply(store, at, hashed.drop("deleted"), found, extractors, fallback)
+    # After the commit: a run that fails before this is repeated with the same rows.
+    store.remember(last.select("path", "version.*"))
+    return result
 
 
 def _hashed(scan: DataFrame) -> DataFrame:
@@ -89,7 +96,7 @@ def _hashed(scan: DataFrame) -> DataFrame:
 
 
 def _manifest_with_ids(store: IndexStore, at: Commit) -> DataFrame:
-    return store.docs(at).select("path", "content_md5", "doc_id", "segment")
+    return store.docs(at).select("path", "content_md5", "doc_id", "segment", "file")
 
 
 def _documents(todo: DataFrame, extractors, fallback) -> DataFrame:
@@ -99,7 +106,7 @@ def _documents(todo: DataFrame, extractors, fallback) -> DataFrame:
 def _first_load(store, at, hashed, extractors, fallback) -> SyncResult:
     """Everything is new: one pass over the contents, nothing to compare."""
     version = at.version + 1
-    store.write_forward(_documents(hashed, extractors, fallback), version)
+    store.write_forward(_documents(hashed, extractors, fallback), version, at, hashed.select("path"))
     loaded = store.segment_documents(version)
     store.write_changes(
         loaded.select(
@@ -107,6 +114,7 @@ def _first_load(store, at, hashed, extractors, fallback) -> SyncResult:
             F.lit("NEW").alias("state"),
             F.lit(None).cast("bigint").alias("old_doc_id"),
             F.lit(None).cast("int").alias("old_segment"),
+            F.lit(None).cast("string").alias("old_file"),
         ),
         version,
     )
@@ -129,7 +137,7 @@ def _apply(store, at, hashed, found, extractors, fallback) -> SyncResult:
     events = (
         found.observe(seen, *[F.count_if(F.col("state") == s).alias(s) for s in STATES])
         .where(F.col("state") != "KNOWN")
-        .select("path", "state", F.col("doc_id").alias("old_doc_id"), F.col("segment").alias("old_segment"))
+        .select("path", "state", F.col("doc_id").alias("old_doc_id"), F.col("segment").alias("old_segment"), F.col("file").alias("old_file"))
     )
     store.write_changes(events, version)
     counts = {s: seen.get.get(s, 0) for s in STATES}
@@ -142,20 +150,21 @@ def _apply(store, at, hashed, found, extractors, fallback) -> SyncResult:
     # 2. Analyse the new and changed documents only.  The events are a stored
     # table of known size: Spark broadcasts a small one and shuffles by path
     # for a large one.  Paths are unique, so that shuffle has no hot key.
-    todo = hashed.join(C.changed(changes).select("path"), "path", "left_semi")
+    wanted = C.changed(changes).select("path")
+    todo = hashed.join(wanted, "path", "left_semi")
     if not added:
         todo = todo.limit(0)
-    store.write_forward(_documents(todo, extractors, fallback), version)
+    store.write_forward(_documents(todo, extractors, fallback), version, at, wanted)
 
     # 3. The other tables of the segment, with the statistics of lost
     # documents subtracted; the commit row comes last.
     gone_forward = None
     if lost:
         gone = changes.where(F.col("old_doc_id").isNotNull()).select(
-            F.col("old_doc_id").alias("doc_id"), F.col("old_segment").alias("segment")
+            F.col("old_doc_id").alias("doc_id"), F.col("old_segment").alias("segment"), F.col("old_file").alias("file")
         )
-        gone_forward = store.forward_segments(at).join(gone, ["doc_id", "segment"], "left_semi")
-        store.write_dead(store.dead(at).unionByName(gone), version)
+        gone_forward = store.forward_of(at, gone)
+        store.write_dead(store.dead(at).unionByName(gone.select("doc_id", "segment")), version)
     store.write_segment(version, gone_forward)
     store.publish(Commit(version, (*at.segments, version), at.n_dead + lost))
     return SyncResult(store, version, version, counts)
