@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wordloom.llm import contamination, exact, language, licenses, mixing, near, quality, repeats, sharding, tokens
+from wordloom.llm import contamination, exact, language, licenses, mixing, near, quality, repeats, rtree, sharding, tokens
 from wordloom.llm.suffixes import longest_repeats, suffix_array
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _row string, size int, kept string"
@@ -285,12 +285,39 @@ def test_language(spark, docs, nothing):
     assert {r.lang_pred for r in language.predict(docs, none).collect()} == {"und"}
 
 
-def test_remembered_vectors_stay_within_bytes():
-    rng = random.Random(5)
+def test_group_weights_bound_the_similarity():
+    rng = np.random.default_rng(4)
     weights = near.idf(np.ones(near.DF_SLOTS + 1, np.int64))
-    known = near.Vectors(weights, most=100_000)
-    for text in [words(rng, n) for n in (100, 100, 3000, 100, 0)] * 3 + [words(rng, 90) for _ in range(100)]:
-        got, want = known[text], near.weighted(text, weights)
-        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
-        assert known.held <= known.most
-    assert 0 < len(known) < 105
+    base = [f"w{i}" for i in rng.integers(0, 400, 300)]
+    texts = [" ".join(base[:at] + [f"x{at}", f"y{at}"] + base[at + gap :]) for at, gap in zip(rng.integers(0, 300, 60), rng.integers(0, 60, 60))]
+    texts += ["w1 w2", "w1 w2 w3 w4 w5 " * 40, "w1 w2 w3 w4 w5 " * 41]
+    vectors = [near.weighted(t, weights) for t in texts]
+    rule, totals = near.link_rule(0.8), np.array([near._total(w) for _, w in vectors])
+    tree = rtree.Tree(np.stack([near.group_weights(h, w, 128) for h, w in vectors]), totals, rule)
+    for i, v in enumerate(vectors):
+        links = {j for j, u in enumerate(vectors) if near.similarity(v, u) >= 0.8}
+        assert links <= set(tree.near(i).tolist())
+
+
+def test_near_links_of_a_large_group_in_small_pages(spark, monkeypatch):
+    """Copies around the threshold: pages of a few texts lose no link of those that share a band."""
+    rng = random.Random(8)
+    base = words(rng, 120).split()
+    texts = []
+    for _ in range(150):
+        copy = list(base)
+        for _ in range(rng.randrange(5)):
+            copy[rng.randrange(len(copy))] = f"n{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    v = [near.weighted(t, near.idf(near.document_frequencies(df))) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if texts[i] == texts[j] or near.similarity(v[i], v[j]) >= 0.8:
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    want = sorted(enumerate(label))
+    for page in (near.PAGE, 8):
+        monkeypatch.setattr(near, "PAGE", page)
+        assert sorted((r.doc_id, r.class_id) for r in near.classes(df).collect()) == want

@@ -5,6 +5,7 @@ import random
 import numpy as np
 
 from wordloom.llm import overlap as O
+from wordloom.llm import rtree
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -93,7 +94,7 @@ def test_bounds_of_the_tree():
     sets = [np.unique(rng.integers(0, 900, rng.integers(20, 400)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(300)]
     sets += [np.unique(np.concatenate([s[3:], rng.integers(0, 2**60, 2).astype(np.uint64)])) for s in sets[:100]]
     sizes = np.array([len(s) for s in sets])
-    tree = O.Tree(np.stack([O.count_vector(s, 128) for s in sets]), sizes)
+    tree = rtree.Tree(np.stack([O.count_vector(s, 128) for s in sets]), sizes, O.JACCARD)
     for i, s in enumerate(sets):
         links = {j for j, t in enumerate(sets) if 100 * len(np.intersect1d(s, t)) >= 85 * len(np.union1d(s, t))}
         assert links <= set(tree.near(i).tolist())
@@ -101,4 +102,4 @@ def test_bounds_of_the_tree():
 
 def test_folded_counts_are_counts():
     h = O.shingle_set(text(random.Random(7), 5000))
-    assert (O._folded(O.count_vector(h, 1024), 128) == O.count_vector(h, 128)).all()
+    assert (rtree.folded(O.count_vector(h, 1024), 128) == O.count_vector(h, 128)).all()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -10,8 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import whole, written
-from wordloom.llm.near import components
+from wordloom.llm.common import components, whole, written
+from wordloom.llm.rtree import SMALL, Rule, digests, folded, forest, grouped, groups_of, paged, runs, stacked, texts_of, unpacked
 from wordloom.llm.shingles import rolled
 from wordloom.sources.files import spread
 
@@ -22,10 +22,7 @@ SIMILAR = 85
 SLOTS = 1 << 20
 # Bytes of count vectors that one tree holds; more points are dealt to pages, and a task takes two pages.
 PAGE_BYTES = 1 << 20
-LEAF = 32
-_SMALL = 8
 _REMEMBERED = 1 << 20
-_NEEDED = 1 << 22
 
 
 class _Words(dict):
@@ -56,171 +53,22 @@ def least_overlap(a, b):
     return (SIMILAR * (a + b) + 99 + SIMILAR) // (100 + SIMILAR)
 
 
-def groups_of(n: int) -> int:
-    """Groups that the tokens of a set of n are hashed into: 128 times a power of 8, n / 8 at least."""
-    g = 128
-    while g * 8 < n:
-        g *= 8
-    return g
-
-
 def count_vector(h: np.ndarray, g: int) -> np.ndarray:
     counts = np.bincount((h & np.uint64(g - 1)).astype(np.int64), minlength=g)
     return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
 
 
-def _unpacked(n: int, data: bytes) -> np.ndarray:
-    g = groups_of(n)
-    return np.frombuffer(data, f"u{len(data) // g}")
-
-
-def _folded(v: np.ndarray, g: int) -> np.ndarray:
-    """Counts in g groups from counts in more."""
-    return v if len(v) == g else v.reshape(-1, g).sum(0, dtype=np.uint32)
-
-
-def _stacked(vectors: list[np.ndarray]) -> np.ndarray:
-    g = min(map(len, vectors))
-    return np.stack([_folded(v, g) for v in vectors])
-
-
-class Tree:
-    """R-tree over points of group counts.
-
-    Points are cut at the median of the coordinate that varies most, down to
-    leaves; a node keeps the largest coordinates below it.  The sum of
-    coordinate minima of a point and a node bounds the overlap with any set
-    below the node, that of two points the overlap of their sets.
-    """
-
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
-        leaves: list[np.ndarray] = []
-        todo = [np.arange(len(points))]
-        while todo:
-            own = todo.pop()
-            if len(own) <= LEAF:
-                leaves.append(own)
-                continue
-            axis = points[own].astype(np.float32).var(0).argmax()
-            order = own[np.argsort(points[own, axis], kind="stable")]
-            todo += [order[len(own) // 2 :], order[: len(own) // 2]]
-        self.leaves = leaves
-        at = np.concatenate(leaves)
-        starts = np.cumsum([0, *map(len, leaves[:-1])])
-        level = np.maximum.reduceat(points[at], starts, axis=0), np.maximum.reduceat(sizes[at], starts), np.minimum.reduceat(sizes[at], starts)
-        self.levels = [level]
-        while len(level[0]) > LEAF:
-            starts = np.arange(0, len(level[0]), LEAF)
-            level = np.maximum.reduceat(level[0], starts, axis=0), np.maximum.reduceat(level[1], starts), np.minimum.reduceat(level[2], starts)
-            self.levels.append(level)
-
-    def near(self, i: int) -> np.ndarray:
-        """Points whose bound with point i reaches the overlap of a link, i itself too."""
-        point, n = self.points[i], int(self.sizes[i])
-        nodes = np.arange(len(self.levels[-1][0]))
-        for depth in range(len(self.levels) - 1, -1, -1):
-            corner, most, least = self.levels[depth]
-            fits = (most[nodes] >= _least(n)) & (_least(least[nodes]) <= n)
-            nodes = nodes[fits]
-            bound = np.minimum(corner[nodes], point).sum(1, dtype=np.int64)
-            nodes = nodes[bound >= least_overlap(np.maximum(least[nodes], _least(n)), n)]
-            if depth:
-                below = len(self.levels[depth - 1][0])
-                nodes = (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
-                nodes = nodes[nodes < below]
-        if not len(nodes):
-            return nodes
-        at = np.concatenate([self.leaves[k] for k in nodes])
-        bound = np.minimum(self.points[at], point).sum(1, dtype=np.int64)
-        return at[bound >= least_overlap(self.sizes[at], n)]
-
-
-class _Joined:
-    """Which points are connected so far."""
-
-    def __init__(self, n: int):
-        self.of = np.arange(n)
-        self.members = [[i] for i in range(n)]
-
-    def join(self, i: int, j: int) -> bool:
-        a, b = self.of[i], self.of[j]
-        if a == b:
-            return False
-        if len(self.members[a]) < len(self.members[b]):
-            a, b = b, a
-        self.of[self.members[b]] = a
-        self.members[a] += self.members[b]
-        self.members[b] = []
-        return True
-
-
-def forest(points: np.ndarray, sizes: np.ndarray, test: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
-    """Links that connect all points that links connect.
-
-    ``test(i, others)`` tells which of the others, that the tree's bounds let
-    through, i links with.  Points that are connected are not tested with each
-    other.  The points connected with one chosen point need no search of their
-    own: whoever links with them is either among them or searches itself.
-    """
-    tree, joined, links = Tree(points, sizes), _Joined(len(points)), []
-    order = np.random.default_rng(len(points)).permutation(len(points))
-    chosen, most = -1, 0
-    for turn, i in enumerate(order):
-        if chosen >= 0 and joined.of[i] == joined.of[chosen]:
-            continue
-        others = tree.near(i)
-        while True:
-            others = others[joined.of[others] != joined.of[i]]
-            if not len(others):
-                break
-            # A few at a time: what the first ones connect need not be tested.
-            few, others = others[:LEAF], others[LEAF:]
-            for j in few[test(i, few)]:
-                if joined.join(i, j):
-                    links.append((int(i), int(j)))
-        if turn < _SMALL and len(joined.members[joined.of[i]]) > most:
-            chosen_next, most = i, len(joined.members[joined.of[i]])
-        if turn == min(_SMALL, len(order)) - 1:
-            chosen = chosen_next
-    return links
-
-
-def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Sorted batches, cut so that no key spans two."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        by = batch[keys].to_numpy()
-        cuts = np.flatnonzero((by[1:] != by[:-1]).any(1)) + 1
-        fresh = held and (held[-1][keys].iloc[-1].to_numpy() != by[0]).any()
-        if fresh:
-            yield pd.concat(held, ignore_index=True)
-            held = []
-        if len(cuts):
-            yield pd.concat([*held, batch.iloc[: cuts[-1]]], ignore_index=True)
-            held = [batch.iloc[cuts[-1] :]]
-        else:
-            held.append(batch)
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
-def _runs(frame: pd.DataFrame, keys: list[str]) -> np.ndarray:
-    by = frame[keys].to_numpy()
-    return np.concatenate([[0], np.flatnonzero((by[1:] != by[:-1]).any(1)) + 1, [len(frame)]])
-
+JACCARD = Rule(_least, least_overlap)
 
 _TASK = ["token", "i", "j"]
 
 
 def _bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Within the points of a token: pairs that the bounds let through, as many as connect the points that such pairs connect."""
-    for frame in _grouped(batches, _TASK):
-        cuts = _runs(frame, _TASK)
+    for frame in grouped(batches, _TASK):
+        cuts = runs(frame, _TASK)
         node, n, pos = (frame[c].to_numpy(np.int64) for c in ("node", "n", "pos"))
-        vectors = [_unpacked(size, data) for size, data in zip(n, frame["counts"])]
+        vectors = [unpacked(size, data) for size, data in zip(n, frame["counts"])]
         first, second = [], []
 
         def passes(i: int, others: np.ndarray, at: int) -> np.ndarray:
@@ -230,10 +78,10 @@ def _bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
         pairs = []
         for a, b in zip(cuts[:-1], cuts[1:]):
-            if b - a <= _SMALL:
+            if b - a <= SMALL:
                 pairs += [(x, y) for x in range(a, b) for y in range(x + 1, b)]
                 continue
-            links = forest(_stacked(vectors[a:b]), n[a:b], lambda i, others, at=a: passes(i, others, at))
+            links = forest(stacked(vectors[a:b]), n[a:b], lambda i, others, at=a: passes(i, others, at), JACCARD)
             first += [node[a + i] for i, _ in links]
             second += [node[a + j] for _, j in links]
         if pairs:
@@ -242,7 +90,7 @@ def _bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             fits = (np.minimum(n[x], n[y]) >= least) & (np.minimum(n[x] - pos[x], n[y] - pos[y]) >= least)
             for x, y, need in zip(x[fits], y[fits], least[fits]):
                 g = min(len(vectors[x]), len(vectors[y]))
-                if int(np.minimum(_folded(vectors[x], g), _folded(vectors[y], g)).sum(dtype=np.int64)) >= need:
+                if int(np.minimum(folded(vectors[x], g), folded(vectors[y], g)).sum(dtype=np.int64)) >= need:
                     first.append(node[x])
                     second.append(node[y])
         yield pd.DataFrame({"a": np.array(first, np.int64), "b": np.array(second, np.int64)})
@@ -253,8 +101,8 @@ _FAMILY = ["family", "i", "j"]
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Within a family: links that connect all that links connect, verified on the sets."""
-    for frame in _grouped(batches, _FAMILY):
-        cuts = _runs(frame, _FAMILY)
+    for frame in grouped(batches, _FAMILY):
+        cuts = runs(frame, _FAMILY)
         node = frame["node"].to_numpy(np.int64)
         first, second = [], []
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -269,20 +117,12 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 return shared >= least_overlap(lengths, sizes[i])
 
             g = groups_of(int(sizes.min()))
-            links = forest(np.stack([count_vector(s, g) for s in sets]), sizes, links_with)
+            links = forest(np.stack([count_vector(s, g) for s in sets]), sizes, links_with, JACCARD)
             first += [node[a + i] for i, _ in links]
             second += [node[a + j] for _, j in links]
         yield pd.DataFrame({"a": np.array(first, np.int64), "b": np.array(second, np.int64)})
 
 
-def _paged(rows: DataFrame, keys: list[str], pages) -> DataFrame:
-    """Each row once for each pair of pages that its own is in, as ``i, j``."""
-    own = F.pmod(F.xxhash64("node"), F.col("pages")).cast("int")
-    dealt = rows.withColumn("pages", pages.cast("int")).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
-    dealt = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("own", "other", "pages")
-    return dealt.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
-
-
 def _slot_counts(docs: DataFrame) -> np.ndarray:
     """Over all documents, how many distinct shingles fall in each slot."""
 
@@ -301,25 +141,6 @@ def _slot_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def _texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """``node, text`` for rows ``node, t1, t2``; flags of a fixed number of hash values leave out most others before the join."""
-    slot = F.col("t1").bitwiseAND(F.lit(_NEEDED - 1)).cast("int")
-    flags = np.zeros(_NEEDED, bool)
-    flags[needed.select(slot.alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True  # _NEEDED rows at most
-    flags = docs.sparkSession.sparkContext.broadcast(flags)
-
-    @F.pandas_udf("boolean")
-    def asked(t1: pd.Series) -> pd.Series:
-        return pd.Series(flags.value[t1.to_numpy(np.int64) & (_NEEDED - 1)])
-
-    keyed = docs.select(*_digests(), "text")
-    return keyed.where(asked("t1")).join(needed, ["t1", "t2"]).dropDuplicates(["node"]).select("node", "text")
-
-
-def _digests():
-    return F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(11), "text", F.octet_length("text")).alias("t2")
-
-
 def linked(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each row: its distinct K-word shingles and the smallest doc_id that links reach.
 
@@ -352,7 +173,7 @@ def linked(docs: DataFrame) -> DataFrame:
             out.append((n, digest[0], digest[1], prefix.view(np.int64), count_vector(h, groups_of(n)).tobytes()))
         return pd.DataFrame(out, columns=["n", "s1", "s2", "prefix", "counts"])
 
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("node"), *_digests(), sketch("text").alias("s"))
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("node"), *digests(), sketch("text").alias("s"))
     rows = written(rows.select("doc_id", "node", "t1", "t2", "s.*"))
     sets = written(rows.where("n > 0").groupBy("s1", "s2").agg(F.min("node").alias("node"), F.min("doc_id").alias("least_id")))
     nodes = rows.join(sets.select("node"), "node", "left_semi")
@@ -364,14 +185,14 @@ def linked(docs: DataFrame) -> DataFrame:
     size = F.expr("128 * pow(8, greatest(0, ceil(log(8, n / 1024))))").cast("long")
     busy = entries.groupBy("token").agg(F.count("*").alias("m"), early.alias("early"), F.sum(size).alias("bytes")).where("m > 1 and early > 0")
     shared = entries.join(busy.select("token", "bytes"), "token").join(nodes.select("node", "counts"), "node")
-    dealt = _paged(shared, ["token"], F.greatest(F.lit(1), F.ceil(F.col("bytes") / PAGE_BYTES)))
+    dealt = paged(shared, ["token"], F.greatest(F.lit(1), F.ceil(F.col("bytes") / PAGE_BYTES)))
     bounded = written(dealt.select(*_TASK, "node", "n", "pos", "counts").mapInPandas(_bounded, "a long, b long").distinct())
 
     families = components(bounded).select("node", F.col("comp").alias("family"))
     needed = written(families.join(rows.select("node", "n", "t1", "t2"), "node"))
     sized = needed.groupBy("family").agg(F.ceil(F.sum(size) / PAGE_BYTES).alias("pages"))
-    members = needed.join(_texts_of(docs, needed.select("node", "t1", "t2")), "node").select("family", "node", "text").join(sized, "family")
-    links = written(_paged(members, ["family"], F.greatest(F.lit(1), F.col("pages"))).select(*_FAMILY, "node", "text").mapInPandas(_verified, "a long, b long"))
+    members = needed.join(texts_of(docs, needed.select("node", "t1", "t2")), "node").select("family", "node", "text").join(sized, "family")
+    links = written(paged(members, ["family"], F.greatest(F.lit(1), F.col("pages"))).select(*_FAMILY, "node", "text").mapInPandas(_verified, "a long, b long"))
 
     found = sets.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = found.groupBy("comp").agg(F.min("least_id").alias("component_id"))
