@@ -45,9 +45,8 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(DF_SLOTS + 1, np.int64), 0
         for b in batches:
-            slots = [np.unique(words(t) & np.uint64(DF_SLOTS - 1)) for t in b.text]
-            if slots:
-                total[:-1] += np.bincount(np.concatenate(slots).astype(np.int64), minlength=DF_SLOTS)
+            for text in b.text:
+                total[np.unique(words(text) & np.uint64(DF_SLOTS - 1)).astype(np.int64)] += 1
             n += len(b)
         total[-1] = n
         at = np.flatnonzero(total)

@@ -22,7 +22,7 @@ SIMILAR = 85
 SLOTS = 1 << 20
 # Bytes of count vectors that one tree holds; more points are dealt to pages, and a task takes two pages.
 PAGE_BYTES = 1 << 20
-_REMEMBERED = 1 << 20
+_REMEMBERED = 1 << 17
 
 
 class _Words(dict):
@@ -129,9 +129,8 @@ def _slot_counts(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            found = [shingle_set(t) for t in batch.text]
-            if found:
-                total += np.bincount((np.concatenate(found) & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+            for text in batch.text:
+                np.add.at(total, (shingle_set(text) & np.uint64(SLOTS - 1)).astype(np.int64), 1)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"slot": at.astype(np.int32), "n": total[at]})
 

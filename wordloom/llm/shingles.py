@@ -9,7 +9,7 @@ import xxhash
 
 K = 5
 _WORD = re.compile(r"\w+")
-_REMEMBERED = 1 << 20
+_REMEMBERED = 1 << 17
 
 
 class WordHashes(dict):
