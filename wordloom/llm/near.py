@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import attach, components, row_key, whole, written
+from wordloom.llm.common import arrow_rows, attach, components, row_key, whole, written
 from wordloom.llm.rtree import Rule, forest, grouped, groups_of, paged, runs, stacked, texts_of, unpacked
 from wordloom.llm.shingles import K, mixed, rolled, words
 
@@ -24,6 +24,8 @@ _ODD = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 _DRAWS = 1 << 16
 _CELLS = 1 << 18
 _UNIT = 0.125
+# Texts that go to Python at a time.
+BATCH = 1000
 # What one R-tree holds at most.
 PAGE = 1 << 12
 PAGE_SHINGLES = 1 << 20
@@ -198,6 +200,11 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     texts.  What can be missed is a link whose ends share no band and are not
     brought into one family by others: fewer than 1 in 1,000 at ``similar`` 0.8.
     """
+    with arrow_rows(docs.sparkSession, BATCH):
+        return _classes(docs, similar)
+
+
+def _classes(docs: DataFrame, similar: float) -> DataFrame:
     spark = docs.sparkSession
     rare = spark.sparkContext.broadcast(idf(document_frequencies(docs)))  # DF_SLOTS floats
 
