@@ -45,9 +45,24 @@ def remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    """Whether values of the type have no hash of their own: maps and variants, at any depth."""
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
 def row_key(df: DataFrame) -> Column:
-    """128 bits that only rows equal in every column share (maps aside)."""
-    cols = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    """128 bits that only rows equal in every column share.
+
+    Columns that hold maps or variants count by their JSON, so equal maps whose
+    entries stand in another order are taken for different, never different
+    ones for equal.
+    """
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    cols = [F.to_json(F.struct(F.col(f"`{f.name}`")), options) if _holds_map(f.dataType) else F.col(f"`{f.name}`") for f in df.schema]
     # A null and a missing neighbour must not look alike, so each column says whether it is null.
     marked = [x for c in cols for x in (c.isNull(), c)]
     return F.struct(F.xxhash64(*marked).alias("a"), F.xxhash64(F.lit(7), *reversed(marked)).alias("b"))

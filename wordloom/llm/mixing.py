@@ -42,15 +42,18 @@ def copies(docs: DataFrame, keep: list[str], seed: int = 1, weights=WEIGHTS, mos
     A document expects target / source_size copies.  Along its source, ordered
     by size and id, the expected copies are summed from one random offset, and
     a document is taken once for each whole number its interval holds.  Order
-    by size makes the words taken follow the target closely.  The offset is a
-    hash of seed and source, so reruns agree.  Null texts have size 0; rows
-    without a source form one of their own; repeated rows count each.
+    by size makes the words taken follow the target closely.  Rows of one size
+    and id stand in the order of a hash of their text and kept columns, and the
+    offset is a hash of seed and source, so reruns agree, also under another
+    partitioning.  Null texts have size 0; rows without a source form one of
+    their own; repeated rows count each.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     cols = list(dict.fromkeys([*keep, "doc_id"]))
-    rows = docs.select(*cols, F.col("source").alias("_source"), size.alias("size"))
+    tie = row_key(docs.select(*dict.fromkeys([*cols, "text"])))
+    rows = docs.select(*cols, F.col("source").alias("_source"), size.alias("size"), tie.alias("_tie"))
     rows = rows.withColumn("_group", F.when(F.col("_source").isNull(), "n").otherwise(F.concat(F.lit("v"), "_source")))
-    ranked = positions(rows, "_group", ["size", "doc_id"])
+    ranked = positions(rows, "_group", ["size", "doc_id", "_tie"])
     sizes = ranked.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
     plan = targets(sizes, weights, most).withColumn(
         "_group", F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("v"), "source"))
