@@ -133,27 +133,42 @@ def test_shards(docs, nothing, range_rows):
 def test_containment(spark, docs, nothing):
     data = rows()
     item = " ".join(data[0][1].split()[10:40])
-    bench = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "word"), (None, data[11][1][:150])], "item_id long, text string")
+    short = [(4, "word"), (5, "apache word"), (6, data[9][1].split()[4000]), (7, " ".join(data[0][1].split()[50:53])), (8, " ".join(data[0][1].split()[117:])), (9, "under the MIT license")]
+    bench = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), *short, (None, data[11][1][:150])], "item_id long, text string")
 
-    def shingles(t):
+    def grams(t, k):
         w = re.findall(r"\w+", (t or "").lower())
-        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+        return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
 
-    want = Counter()
+    want, bad = Counter(), set()
     for i, t in {(r[0], r[1]) for r in bench.collect()}:
-        q = shingles(t)
+        k = min(5, len(re.findall(r"\w+", t or "")))
+        q = grams(t, k) if k else set()
         for r in data:
-            shared = len(q & shingles(r[1]))
+            shared = len(q & grams(r[1], k)) if k else 0
             if q and shared >= 0.8 * len(q):
                 want[r[0], i, shared, len(q)] += 1
+                bad.add(r[1])
     got = contamination.matches(docs, bench)
-    assert Counter((r.doc_id, r.item_id, r.n_shared, r.n_item) for r in got.collect()) == want and want
+    assert Counter((r.doc_id, r.item_id, r.n_shared, r.n_item) for r in got.collect()) == want
+    assert {i for _, i, *_ in want} == {1, 4, 6, 7, 8, 9, None}
     clean = contamination.decontaminated(docs, bench)
-    bad = {t for _, t, *_ in data for q in [item, data[11][1][:150], "word"] if len(shingles(q) & shingles(t)) >= 0.8 * len(shingles(q))}
     assert clean.columns == docs.columns and Counter(r[:2] for r in clean.collect()) == Counter(r[:2] for r in data if r[1] not in bad)
     assert contamination.matches(nothing, bench).count() == 0 and contamination.matches(docs, bench.where("false")).count() == 0
 
 
+def test_short_items_in_very_long_texts(spark):
+    """Items of one to eight words, each once in a text longer than a stride of the search."""
+    rng = random.Random(12)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(2 * contamination.STRIDE + 100)]
+    at = [0, 7, 4999, contamination.STRIDE - 2, contamination.STRIDE + 5, 100_000, len(long) - 6, len(long) - 8]
+    items = [(n, " ".join(long[i : i + n])) for n, i in enumerate(at, 1) if i + n <= len(long)]
+    docs = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(long[:6])), (3, "")], "doc_id long, text string")
+    got = contamination.matches(docs, spark.createDataFrame(items, "item_id int, text string")).collect()
+    found = {(r.doc_id, r.item_id) for r in got}
+    assert {i for d, i in found if d == 1} == {n for n, _ in items} and {i for d, i in found if d == 2} == {1}
+
+
 def test_suffix_arrays():
     rng = random.Random(5)
     for n in range(300):
@@ -224,6 +239,44 @@ def test_license_passage_with_changes(spark):
     assert found.labels == "bsd" and found.n_base == 0 and 0.8 <= found.score < 1
 
 
+def test_license_grams_without_their_passage(spark):
+    """Every gram of a passage in its order, but with foreign words between, is not the passage."""
+    passage = next(p for p, label in licenses.PASSAGES.items() if label == "mpl-2").split()
+    apart = [x for i in range(len(passage) - 2) for x in [*passage[i : i + 3], f"foreign{i}"]]
+    halves = passage[10:] + passage[:10]
+    texts = [" ".join(apart), " ".join(passage), " ".join([*apart, *passage, *apart]), " ".join(halves), " ".join(["so"] * 900 + passage)]
+    found = {r.doc_id: (r.labels, r.score) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert found == {0: ("", 0.0), 1: ("mpl-2", 1.0), 2: ("mpl-2", 1.0), 3: ("", 0.0), 4: ("mpl-2", 1.0)}
+
+
+def test_license_spans_by_brute_force(spark):
+    """Passages with words put in, left out and exchanged, against a search of all bands of diagonals."""
+    rng = random.Random(6)
+    texts = []
+    for _ in range(60):
+        w = rng.choice(list(licenses.PASSAGES)).split()
+        for _ in range(rng.randrange(6)):
+            i = rng.randrange(len(w))
+            w[i : i + rng.randrange(2)] = rng.choice([[], ["new"], ["new", "words"], w[i : i + 3]])
+        texts.append(" ".join([*words(rng, 5).split(), *w, *rng.choice([[], w[:12]])]))
+    want = {}
+    for d, t in enumerate(texts):
+        w, labels, score = t.split(), set(), 0.0
+        at = {}
+        for i in range(len(w) - 2):
+            at.setdefault(tuple(w[i : i + 3]), []).append(i)
+        for p, label in licenses.PASSAGES.items():
+            p = p.split()
+            met = [(i - j, j) for j in range(len(p) - 2) for i in at.get(tuple(p[j : j + 3]), [])]
+            best = max((len({j for x, j in met if d0 <= x <= d0 + max(3, len(p) // 4)}) for d0, _ in met), default=0) / (len(p) - 2)
+            if best >= 0.8:
+                labels.add(label)
+                score = max(score, best)
+        want[d] = (",".join(sorted(labels)), score)
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), base={"zz zz zz": "none"}).collect()
+    assert {r.doc_id: (r.labels, r.score) for r in found} == want and 10 < sum(x[1] > 0 for x in want.values()) < 60
+
+
 def test_targets(spark):
     sizes = [("a", 100), ("b", 10), ("c", 5), (None, 885)]
     got = {r.source: r.target for r in mixing.targets(spark.createDataFrame(sizes, "source string, source_size long")).collect()}
@@ -250,6 +303,31 @@ def test_mixing(docs, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def test_mixing_of_tied_rows_does_not_depend_on_partitions(spark):
+    """Rows of one id and size, a third of them null ids: the same ones are taken however they are dealt."""
+    data = [(None if i % 3 else 7, f"{'ab'[i % 2]}{i} word", "s" if i % 5 else None, {"n": i}) for i in range(100)]
+    given = spark.createDataFrame(data, "doc_id long, text string, source string, facts map<string,int>")
+    once, again = (Counter((r.doc_id, r.text, r.source, r.facts["n"]) for r in mixing.mix(given.repartition(n, "text"), weights=(1, 2)).collect()) for n in (1, 9))
+    assert once == again and sum(once.values()) > 50
+
+
+def test_rows_that_differ_in_maps_stay_apart(spark):
+    """Maps on their own, in structs and in arrays, nulls and missing entries: no row takes another's place."""
+    from wordloom.llm.common import attach, row_key
+
+    schema = "doc_id long, m map<string,int>, s struct<n:int,m:map<int,string>>, a array<map<string,timestamp>>"
+    import datetime as dt
+
+    when = dt.datetime(2020, 1, 1, 0, 0, 0, 1)
+    data = [(1, {"a": 1}, None, None), (1, {"a": 2}, None, None), (1, {"a": None}, None, None), (1, {}, None, None), (1, None, None, None)]
+    data += [(1, None, (1, {1: "x"}), None), (1, None, (1, {2: "x"}), None), (1, None, (None, None), None), (1, None, None, [{}])]
+    data += [(1, None, None, [{"t": when}]), (1, None, None, [{"t": when.replace(microsecond=2)}]), (1, None, None, [])]
+    df = spark.createDataFrame(data, schema)
+    keyed = df.select(row_key(df).alias("_row"))
+    assert keyed.distinct().count() == len(data)
+    assert Counter(map(repr, attach(df.union(df), keyed).collect())) == Counter(map(repr, df.collect()))
+
+
 def test_tokens(docs, nothing):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer

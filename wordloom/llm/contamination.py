@@ -9,11 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.shingles import mixed, rolled, words
+from wordloom.llm.shingles import K, mixed, rolled, words
 
 CONTAINMENT = 0.8
 HASHES = 64
-SMALLEST = 8
 # Bytes of benchmark text that one pass over the documents carries to its tasks.
 BLOCK_BYTES = 4 << 20
 STRIDE = 1 << 16
@@ -28,29 +27,25 @@ def _values(h: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(32)).astype(np.uint32)[None, :] ^ _FLIP[:, None]) * _ODD[:, None]
 
 
-class Items:
-    """Test items in partitions by size, each with the sketches of its items.
-
-    An item of q shingles belongs to the smallest width B that holds it.  A
-    document is cut into blocks of B shingles, and two neighbouring blocks are
-    a segment, so an item that stands in a document lies within one segment of
-    at most 4q shingles: a similarity of 0.2 or more for a containment of 0.8
-    whatever the document's length.  With bands of one value, HASHES of them
-    miss such a segment with a chance of 0.8 ** 64, under 1 in a million.
+class Sketches:
+    """Shingle sets in partitions by size, each with the sketches of its sets.
+
+    A set of q shingles belongs to the smallest width B, a power of two, that
+    holds it.  A document is cut into blocks of B shingles, and two neighbouring
+    blocks are a segment, so an item that stands in a document lies within one
+    segment of at most 4q shingles: a similarity of 0.8 / 4.2 or more for a
+    containment of 0.8, whatever the document's length.  With bands of one
+    value, HASHES of them miss such a segment with a chance of 0.81 ** 64,
+    under 2 in a million; a single shingle is never missed.
     """
 
-    def __init__(self, texts: list[str]):
-        self.sets = [np.unique(rolled(words(t))) for t in texts]
+    def __init__(self, sets: dict[int, np.ndarray]):
         self.parts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         by_width: dict[int, list[int]] = {}
-        for i, q in enumerate(self.sets):
-            if len(q):
-                width = SMALLEST
-                while width < len(q):
-                    width *= 2
-                by_width.setdefault(width, []).append(i)
+        for i, q in sets.items():
+            by_width.setdefault(1 << (len(q) - 1).bit_length(), []).append(i)
         for width, members in by_width.items():
-            sketch = np.stack([_values(self.sets[i]).min(1) for i in members], axis=1)
+            sketch = np.stack([_values(sets[i]).min(1) for i in members], axis=1)
             keys = (sketch.astype(np.uint64) + (np.arange(HASHES, dtype=np.uint64) << np.uint64(32))[:, None]).ravel()
             owner = np.tile(np.array(members), HASHES)
             order = np.argsort(keys, kind="stable")
@@ -65,14 +60,12 @@ class Items:
     def candidates(self, h: np.ndarray) -> set[int]:
         """Items of which some segment of the document has a sketch value."""
         found: set[int] = set()
-        if not self.parts:
-            return found
-        widest = max(self.parts)
+        smallest, widest = min(self.parts), max(self.parts)
         stride = max(STRIDE, 2 * widest)
         row = (np.arange(HASHES, dtype=np.uint64) << np.uint64(32))[:, None]
         for start in range(0, len(h), stride - widest):
             chunk = h[start : start + stride]  # a segment over a chunk's end lies in the next one
-            width, low = SMALLEST, np.minimum.reduceat(_values(chunk), np.arange(0, len(chunk), SMALLEST), axis=1)
+            width, low = smallest, np.minimum.reduceat(_values(chunk), np.arange(0, len(chunk), smallest), axis=1)
             while True:
                 if width in self.parts:
                     keys, owner, near = self.parts[width]
@@ -94,23 +87,35 @@ class Items:
                 break
         return found
 
+
+class Items:
+    """Test items by the number of words in their shingles: K, or all their words if they have fewer."""
+
+    def __init__(self, texts: list[str]):
+        found = [words(t) for t in texts]
+        self.sets = [np.unique(rolled(w)) for w in found]
+        by_words: dict[int, dict[int, np.ndarray]] = {}
+        for i, w in enumerate(found):
+            if len(w):
+                by_words.setdefault(min(K, len(w)), {})[i] = self.sets[i]
+        self.sketches = {k: Sketches(sets) for k, sets in by_words.items()}
+
     def contained(self, text: str | None, least: float) -> list[tuple[int, int, int]]:
         """(item, shared shingles, its shingles) for items that the text contains to that part."""
-        h = rolled(words(text))
-        if not len(h):
-            return []
-        found = self.candidates(h)
-        if not found:
-            return []
-        own = np.unique(h)
-        out = []
-        for i in sorted(found):
-            q = self.sets[i]
-            at = np.minimum(np.searchsorted(own, q), len(own) - 1)
-            shared = int((own[at] == q).sum())
-            if shared >= least * len(q):
-                out.append((i, shared, len(q)))
-        return out
+        w, out = words(text), []
+        for k, sketches in self.sketches.items():
+            if len(w) < k:
+                continue
+            h = rolled(w, k)
+            found = sketches.candidates(h)
+            own = np.unique(h) if found else h
+            for i in found:
+                q = self.sets[i]
+                at = np.minimum(np.searchsorted(own, q), len(own) - 1)
+                shared = int((own[at] == q).sum())
+                if shared >= least * len(q):
+                    out.append((i, shared, len(q)))
+        return sorted(out)
 
 
 def _blocks(benchmark: DataFrame) -> list[DataFrame]:
@@ -141,9 +146,10 @@ def _found(docs: DataFrame, block: DataFrame, least: float, out: str) -> tuple[D
 def matches(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT) -> DataFrame:
     """Pairs ``doc_id, item_id, n_shared, n_item, containment`` with containment of at least ``least``.
 
-    Containment is the part of an item's distinct 5-word shingles (all its
-    words as one, if it has fewer than five) that the whole document has, by
-    exact comparison of 64-bit shingle hashes after the MinHash search.  Null
+    Containment is the part of an item's distinct 5-word shingles that the
+    whole document has, by exact comparison of 64-bit shingle hashes after the
+    MinHash search.  An item of fewer than five words is one shingle of that
+    many words: a document contains it if the words stand there in a row.  Null
     and empty texts on either side match nothing; a repeated benchmark row
     counts once, repeated documents each.  The benchmark is the query set; it
     is carried to the documents in blocks of BLOCK_BYTES, a pass for each.

@@ -12,6 +12,8 @@ K = 3
 NEAR = 3
 # Part of a template's k-grams that a place must hold.
 COVER = 0.8
+# A verified span is at most this part of its passage longer, or NEAR words if that is more.
+LONGER = 4
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Phrases that count word by word, with their labels.
@@ -45,13 +47,18 @@ def grams(words: Column, k: int = K) -> Column:
     return F.when(F.size(words) >= k, joined).otherwise(F.array().cast("array<string>"))
 
 
+def drift(passage: list[str]) -> int:
+    """How far apart the diagonals of one span of the passage may lie."""
+    return max(NEAR, len(passage) // LONGER)
+
+
 def templates(spark: SparkSession, base=BASE, passages=PASSAGES) -> DataFrame:
     """A row for each k-gram of each template: a fixed size."""
     rows = []
     for n, (phrase, label, exact) in enumerate([(p, x, True) for p, x in base.items()] + [(p, x, False) for p, x in passages.items()]):
         w = phrase.split()
-        rows += [(n, label, exact, len(w) - K + 1, i, " ".join(w[i : i + K])) for i in range(len(w) - K + 1)]
-    return spark.createDataFrame(rows, "template int, label string, exact boolean, n_grams int, t_at int, t_gram string")
+        rows += [(n, label, exact, len(w) - K + 1, drift(w), i, " ".join(w[i : i + K])) for i in range(len(w) - K + 1)]
+    return spark.createDataFrame(rows, "template int, label string, exact boolean, n_grams int, drift int, t_at int, t_gram string")
 
 
 def places(docs: DataFrame, keys: list[str], base=BASE, passages=PASSAGES) -> DataFrame:
@@ -60,23 +67,34 @@ def places(docs: DataFrame, keys: list[str], base=BASE, passages=PASSAGES) -> Da
     All k-grams of all texts meet the template positions in a join on the hash
     of the gram, verified by the gram itself.  A match votes for the diagonal
     position minus template position.  A base phrase stands where one diagonal
-    has all its grams.  For a passage, diagonals at most NEAR apart are merged,
-    and the place holds if COVER of the passage's grams are found.  Rows equal
-    in ``keys`` count once.  Texts shorter than a gram have no place.
+    has all its grams.  For a passage, diagonals at most NEAR apart are merged
+    to a place, whose span is then verified: diagonals no farther apart than
+    the passage's ``drift`` must hold COVER of its grams.  A span is so at most
+    that much longer than the passage, and no gram of it stands farther than
+    that from its turn.  A place starts where its best span does, the first of
+    equals.  Rows equal in ``keys`` count once.  Texts shorter than a gram have
+    no place.
     """
     known = templates(docs.sparkSession, base, passages).withColumn("_h", F.xxhash64("t_gram"))
     said = docs.select(*keys, F.posexplode(grams(F.col("_words"))).alias("_at", "_gram"))
     met = said.withColumn("_h", F.xxhash64("_gram")).join(F.broadcast(known), "_h").where("_gram = t_gram")
-    votes = met.groupBy(*keys, "template", "label", "exact", "n_grams", (F.col("_at") - F.col("t_at")).alias("_diagonal")).agg(
+    template = ["template", "label", "exact", "n_grams", "drift"]
+    votes = met.groupBy(*keys, *template, (F.col("_at") - F.col("t_at")).alias("_diagonal")).agg(
         F.collect_set("t_at").alias("_found")  # at most the template's grams
     )
     full = votes.where("exact and size(_found) = n_grams").select(*keys, "template", "label", "exact", F.col("_diagonal").alias("start"), F.lit(1.0).alias("cover"))
     by = Window.partitionBy(*keys, "template").orderBy("_diagonal")
-    parted = votes.where("not exact").withColumn("_new", (F.col("_diagonal") - F.lag("_diagonal", 1, -1_000_000).over(by) > NEAR).cast("int"))
-    merged = parted.withColumn("_place", F.sum("_new").over(by)).groupBy(*keys, "template", "label", "exact", "n_grams", "_place").agg(
-        F.min("_diagonal").alias("start"), (F.size(F.array_distinct(F.flatten(F.collect_list("_found")))) / F.col("n_grams")).alias("cover")
+    widest = max((drift(p.split()) for p in passages), default=NEAR)
+    # A frame holds at most widest + 1 diagonals.
+    ahead = F.collect_list(F.struct("_diagonal", "_found")).over(by.rangeBetween(0, widest))
+    span = F.filter(ahead, lambda v: v["_diagonal"] <= F.col("_diagonal") + F.col("drift"))
+    held = F.size(F.array_distinct(F.flatten(F.transform(span, lambda v: v["_found"]))))
+    parted = votes.where("not exact").withColumn("_held", held).withColumn("_new", (F.col("_diagonal") - F.lag("_diagonal", 1, -1_000_000).over(by) > NEAR).cast("int"))
+    merged = parted.withColumn("_place", F.sum("_new").over(by)).groupBy(*keys, *template, "_place").agg(
+        F.max(F.struct("_held", (-F.col("_diagonal")).alias("_first"))).alias("_best")
     )
-    near = merged.where(F.col("cover") >= COVER).select(*keys, "template", "label", "exact", F.greatest("start", F.lit(0)).alias("start"), "cover")
+    verified = merged.withColumn("cover", F.col("_best._held") / F.col("n_grams")).where(F.col("cover") >= COVER)
+    near = verified.select(*keys, "template", "label", "exact", F.greatest(-F.col("_best._first"), F.lit(0)).alias("start"), "cover")
     return full.unionByName(near)
 
 

@@ -50,36 +50,36 @@ WITH rows AS (
 SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM numbered
 """
 
-_SHINGLES = r"""
-{name} AS (
-  SELECT DISTINCT {keys}, CASE WHEN len(w) >= 5 THEN array_to_string(w[i:i + 4], ' ') ELSE array_to_string(w, ' ') END AS s
-  FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i
-        FROM (SELECT {keys}, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') AS w FROM {table}) WHERE len(w) > 0)
-)"""
-
-LEAKS = (
-    "WITH items AS (SELECT *, row_number() OVER (ORDER BY item_id, text) AS k FROM (SELECT DISTINCT item_id, text FROM benchmark)),"
-    + _SHINGLES.format(name="q", keys="item_id, k", table="items")
-    + ", docs AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) AS r FROM documents),"
-    + _SHINGLES.format(name="d", keys="doc_id, r", table="docs")
-    + """, sizes AS (SELECT k, count(*) AS n_item FROM q GROUP BY 1),
-shared AS (SELECT doc_id, r, item_id, k, count(*) AS n_shared FROM q JOIN d USING (s) GROUP BY ALL)
+LEAKS = r"""
+WITH items AS (
+  SELECT item_id, row_number() OVER (ORDER BY item_id, text) AS k, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), q AS (
+  SELECT DISTINCT item_id, k, m, array_to_string(w[i:i + m - 1], ' ') AS s
+  FROM (SELECT *, least(5, len(w)) AS m, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM items WHERE len(w) > 0)
+), sizes AS (SELECT k, count(*) AS n_item FROM q GROUP BY 1),
+docs AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents
+), d AS (
+  SELECT DISTINCT doc_id, r, m, array_to_string(w[i:i + m - 1], ' ') AS s
+  FROM (SELECT doc_id, r, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM docs, (SELECT DISTINCT m FROM q) WHERE len(w) >= m)
+),
+shared AS (SELECT doc_id, r, item_id, k, count(*) AS n_shared FROM q JOIN d USING (s, m) GROUP BY ALL)
 SELECT doc_id, item_id, n_shared::INT AS n_shared, n_item::INT AS n_item, n_shared / n_item AS containment
 FROM shared JOIN sizes USING (k) WHERE n_shared >= 0.8 * n_item
 """
-)
 
 
 def licenses() -> str:
-    """The scan in SQL; the templates are the operator's fixed values."""
-    from wordloom.llm.licenses import BASE, COVER, NEAR, PASSAGES
+    """The scan in SQL, by windows of diagonals without merging; the templates are the operator's fixed values."""
+    from wordloom.llm.licenses import BASE, PASSAGES
 
     rows = []
     for n, (phrase, label, exact) in enumerate([(p, x, "true") for p, x in BASE.items()] + [(p, x, "false") for p, x in PASSAGES.items()]):
         w = phrase.split()
-        rows += [f"({n}, '{label}', {exact}, {len(w) - 2}, {i}, '{' '.join(w[i : i + 3])}')" for i in range(len(w) - 2)]
+        rows += [f"({n}, '{label}', {exact}, {len(w)}, {i}, '{' '.join(w[i : i + 3])}')" for i in range(len(w) - 2)]
     return rf"""
-WITH known(template, label, exact, n_grams, t_at, gram) AS (VALUES {", ".join(rows)}),
+WITH known(template, label, exact, n_words, t_at, gram) AS (VALUES {", ".join(rows)}),
 docs AS (
   SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -87,18 +87,15 @@ docs AS (
   SELECT r, i - 1 AS pos, array_to_string(w[i:i + 2], ' ') AS gram
   FROM (SELECT r, w, unnest(generate_series(1, len(w) - 2)) AS i FROM docs)
 ), votes AS (
-  SELECT r, template, label, exact, n_grams, pos - t_at AS diagonal, list(DISTINCT t_at) AS found
-  FROM grams JOIN known USING (gram) GROUP BY ALL
-), parted AS (
-  SELECT *, CASE WHEN diagonal - lag(diagonal, 1, -1000000) OVER (PARTITION BY r, template ORDER BY diagonal) > {NEAR} THEN 1 ELSE 0 END AS fresh
-  FROM votes WHERE NOT exact
-), placed AS (
-  SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal) AS place FROM parted
+  SELECT r, template, label, exact, n_words, t_at, pos - t_at AS first_at FROM grams JOIN known USING (gram)
 ), places AS (
-  SELECT r, label, exact, diagonal AS first_at, 1.0::DOUBLE AS cover FROM votes WHERE exact AND len(found) = n_grams
+  SELECT r, label, exact, first_at, 1.0::DOUBLE AS cover
+  FROM votes WHERE exact GROUP BY r, template, label, exact, n_words, first_at HAVING count(DISTINCT t_at) = n_words - 2
   UNION ALL
-  SELECT r, label, exact, min(diagonal), len(list_distinct(flatten(list(found)))) / n_grams AS cover
-  FROM placed GROUP BY r, template, label, exact, n_grams, place HAVING cover >= {COVER}
+  SELECT a.r, a.label, a.exact, a.first_at, count(DISTINCT b.t_at) / (a.n_words - 2) AS cover
+  FROM (SELECT DISTINCT r, template, label, exact, n_words, first_at FROM votes WHERE NOT exact) a JOIN votes b
+  ON a.r = b.r AND a.template = b.template AND b.first_at BETWEEN a.first_at AND a.first_at + greatest(3, a.n_words // 4)
+  GROUP BY a.r, a.template, a.label, a.exact, a.n_words, a.first_at HAVING cover >= 0.8
 ), summed AS (
   SELECT r, count(*) FILTER (exact) AS n_base, min(first_at) FILTER (exact) AS first_word, max(first_at) FILTER (exact) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels,
