@@ -220,6 +220,31 @@ SELECT doc_id, round(sum(idf * tf / (tf + 1.2 * (0.25 + 0.75 * dl_q / avgdl))),
 FROM freq JOIN dls USING (field, doc_id) JOIN pidf USING (field) JOIN stats USING (field) GROUP BY doc_id"""
 
 
+def _fuzzy_batch() -> str:
+    """As below, with the words in a table: the first of an item with two edits, the second with one.
+
+    DuckDB counts edits of bytes, so each letter beyond ASCII gets a capital,
+    which lower-cased terms do not have, or another sign as its mark.
+    """
+    marks = "ABCDEFGHIJKLMNOPQRSTUVWXYZ!$%&()*+,-./:;<=>?@[]^{|}~"
+    swaps = """len(list_filter(range(1, length(word)), lambda i: len(list_filter(range(1, length(term)), lambda j:
+    substr(term, j, 2) = substr(word, i + 1, 1) || substr(word, i, 1)
+    AND damerau_levenshtein(left(term, j - 1) || '#' || substr(term, j + 2), left(word, i - 1) || '#' || substr(word, i + 2)) <= 1)) > 0)) > 0"""
+    return f"""{_index(['content'])},
+asked AS (SELECT item_id AS query_id, c, lower(split_part(text, ' ', c + 1)) AS word, 2 - c AS most FROM benchmark, (VALUES (0), (1)) v(c)),
+wanted AS (SELECT DISTINCT word, most FROM asked WHERE word <> ''),
+letters AS (SELECT DISTINCT unnest(regexp_extract_all(w, '[^\\x00-\\x7F]')) AS ch FROM (SELECT term AS w FROM dict UNION ALL SELECT word FROM wanted)),
+marks AS (SELECT coalesce(string_agg(ch, '' ORDER BY ch), '') AS odd, left('{marks}', count(*)) AS mark FROM letters),
+pairs AS (SELECT field, term AS t, df, word AS w, most, translate(term, odd, mark) AS term, translate(word, odd, mark) AS word
+  FROM dict JOIN wanted ON abs(length(term) - length(word)) <= 2, marks),
+near AS (SELECT field, t AS term, df, w AS word, most, CASE WHEN term = word THEN 0 WHEN damerau_levenshtein(term, word) = 1 THEN 1
+  WHEN levenshtein(term, word) = 2 THEN 2 WHEN levenshtein(term, word) <= 4 AND {swaps} THEN 2 END AS d FROM pairs),
+close AS (SELECT *, CASE WHEN d = 0 THEN 1.0 ELSE 1.0 - d / least(length(term), length(word)) END AS w FROM near WHERE d <= most),
+shared AS (SELECT field, term, word, most, w, max(df) OVER (PARTITION BY field, word, most) AS df FROM close WHERE w > 0)
+SELECT query_id, doc_id, round(sum(w * {OK}), 6) AS score
+FROM asked JOIN shared USING (word, most) JOIN post USING (field, term) JOIN stats USING (field) GROUP BY query_id, doc_id"""
+
+
 def _fuzzy(word: str, fields=FIELDS) -> str:
     """Up to two edits, a swap being one edit that leaves its pair alone.
 
@@ -395,6 +420,7 @@ FROM post""",
         "batch_topk": _batch(BATCH_WORDS),
         "batch_topk_bounded": _batch(_batch_words("array_to_string(string_split(text, ' ')[1:5], ' ')")),
         "batch_bool": BATCH_BOOL,
+        "fuzzy_batch": _fuzzy_batch(),
         "ranked_results": f"""{_index(both, PAGE_DOCS)}, {_clauses([(0, 'tion', 1), (0, 'html', 1), (0, 'from', 1)])}, {_scored()},
 total AS (SELECT doc_id, round(sum(score), 6) AS score FROM hit GROUP BY doc_id),
 best AS (SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, score

@@ -300,6 +300,14 @@ def batch_bool(spark, sf):
     return score_clauses(Searcher(documents_index(spark, sf), fields=CONTENT), table)
 
 
+def fuzzy_batch(spark, sf):
+    """Fuzzy clauses of every item in one plan: its first word with two edits, its second with one."""
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.col("item_id").alias("query_id"), F.split("text", " ").alias("w"))
+    word = F.posexplode(F.slice("w", 1, 2)).alias("clause_id", "text")
+    table = items.select("query_id", word).select("*", F.lit("fuzzy").alias("kind"), (2 - F.col("clause_id")).alias("max_edits"))
+    return score_clauses(Searcher(documents_index(spark, sf), fields=CONTENT), table)
+
+
 def ranked_results(spark, sf):
     found = Searcher(pages_index(spark, sf)).search([Q.term("tion html from")], k=20)
     return found.select(F.col("rank").cast("bigint").alias("rank"), "score", "file_name", "display_title", "path")
@@ -329,7 +337,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         manifest_roundtrip, index_roundtrip, sync_full, stream_ingest, stream_late,
         tokens, tokens_nostop, stems, normalised_terms,
         postings, doc_lengths, length_quantised, field_stats, term_dictionary,
-        bm25_topk, tfidf_topk, bm25_multifield, batch_topk, batch_topk_bounded, batch_bool, ranked_results, stored_fields, exact_path,
+        bm25_topk, tfidf_topk, bm25_multifield, batch_topk, batch_topk_bounded, batch_bool, fuzzy_batch, ranked_results, stored_fields, exact_path,
     )
     return {f.__name__: f for f in named} | {
         "no_hits": _matches(Q.term("zzzznothere")),

@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions.analysis import analyze_column
+from wordloom.operators import fuzzy as FZ
 from wordloom.operators import phrases as PH
 from wordloom.operators.clauses import OCCURS
 from wordloom.operators.scoring import SCORE_DIGITS, term_score
 from wordloom.plans import search as S
 from wordloom.plans.search import Searcher
 
-KINDS = ("term", "phrase", "prefix", "all", "group")
+KINDS = ("term", "phrase", "prefix", "fuzzy", "all", "group")
 DEFAULTS = {
     "parent_id": "cast(null as bigint)",
     "occur": "'should'",
@@ -26,7 +27,10 @@ DEFAULTS = {
     "field": "cast(null as string)",
     "boost": "1.0D",
     "slop": "0",
+    "max_edits": "2",
 }
+# No word of a fuzzy clause has more keys.
+FUZZY_KEYS = 1 + FZ.PREFIX * (FZ.PREFIX + 1) // 2
 # The parent of clauses that are in no group.
 ROOT = -(1 << 63)
 
@@ -35,9 +39,9 @@ def score_clauses(searcher: Searcher, clauses: DataFrame) -> DataFrame:
     """``query_id, doc_id, score`` of every document that matches a query.
 
     ``clauses``: ``query_id, clause_id, kind`` and, where they differ from the
-    defaults, ``parent_id, occur, text, field, boost, slop``.  Kinds are term,
-    phrase, prefix, all and group; clauses mean what they mean in
-    ``operators.clauses``.  A clause without a term left after analysis is
+    defaults, ``parent_id, occur, text, field, boost, slop, max_edits``.  Kinds
+    are term, phrase, prefix, fuzzy, all and group; clauses mean what they mean
+    in ``operators.clauses``.  A clause without a term left after analysis is
     gone, a required one too, and so is a group without clauses.
     """
     return _Batch(searcher, clauses).score()
@@ -59,9 +63,11 @@ class _Batch:
             "field",
             F.col("boost").cast("double").alias("boost"),
             F.col("slop").cast("int").alias("slop"),
+            F.col("max_edits").cast("int").alias("max_edits"),
         )
         n = clauses.count()
         self.small = n * len(searcher.fields) <= S.BROADCAST_ROWS
+        self.few_keys = n * len(searcher.fields) * FUZZY_KEYS <= S.BROADCAST_ROWS
         if self.small:
             # The clauses are read once; all that is made of them is a plan over local rows.
             clauses = self.spark.createDataFrame(clauses.toArrow(), clauses.schema)
@@ -73,7 +79,7 @@ class _Batch:
     def _levels(self, clauses: DataFrame, n: int) -> list[DataFrame]:
         """Clauses by depth, with the product of the boosts on their way."""
         wrong = clauses.where(
-            ~F.col("kind").isin(*KINDS) | ~F.col("occur").isin(*OCCURS) | (F.col("boost") < 0) | (F.col("slop") < 0)
+            ~F.col("kind").isin(*KINDS) | ~F.col("occur").isin(*OCCURS) | (F.col("boost") < 0) | (F.col("slop") < 0) | ~F.col("max_edits").between(0, FZ.MAX_EDITS)
         ).first()
         if wrong:
             raise ValueError(f"a clause table cannot hold {wrong.asDict()}")
@@ -89,9 +95,11 @@ class _Batch:
 
     # -- leaves --------------------------------------------------------------
 
+    def _fields(self) -> Column:
+        return F.when(F.col("field").isNotNull(), F.array("field")).otherwise(F.array(*[F.lit(f) for f in self.searcher.fields]))
+
     def _words(self, level: DataFrame) -> DataFrame:
         """``idx, shift, term`` of the clauses with text, by field."""
-        fields = F.when(F.col("field").isNotNull(), F.array("field")).otherwise(F.array(*[F.lit(f) for f in self.searcher.fields]))
         words = level.where("kind in ('term', 'phrase')").select(
             "*", F.posexplode(F.filter(F.transform(analyze_column("text"), lambda t, i: F.struct(i.alias("pos"), t.alias("term"))), lambda w: w["term"].isNotNull())).alias("idx", "w")
         )
@@ -99,7 +107,7 @@ class _Batch:
         words = words.withColumns({"n_terms": F.count("*").over(of), "shift": F.col("w.pos") - F.min("w.pos").over(of)})
         return words.select(
             "query_id", "clause_id", "parent", "occur", "kind", "boost", "slop", "idx", "n_terms", F.col("shift").cast("int").alias("shift"),
-            F.col("w.term").alias("term"), self.searcher.store.bucket(F.col("w.term")).alias("bucket"), F.explode(fields).alias("field"),
+            F.col("w.term").alias("term"), self.searcher.store.bucket(F.col("w.term")).alias("bucket"), F.explode(self._fields()).alias("field"),
         )
 
     def _leaf_hits(self, level: DataFrame, words: DataFrame) -> DataFrame:
@@ -130,6 +138,14 @@ class _Batch:
             # The boost once for each field, however many of its terms begin so.
             held = postings.select("field", "term", "bucket", "doc_id").join(found, ["field", "term", "bucket"])
             parts.append(held.groupBy(*keys, "field", "doc_id").agg(F.max("boost").alias("score")).drop("field"))
+        if "fuzzy" in kinds:
+            asked = level.where("kind = 'fuzzy'").withColumn("clause", F.struct("query_id", "clause_id"))
+            words = asked.select("clause", F.lower("text").alias("word"), "max_edits", F.explode(self._fields()).alias("field"))
+            near = s._with_idf(FZ.expand(terms, words, self.few_keys)).join(self._sized(asked.select("clause", *keys, "boost")), "clause")
+            near = near.select(*keys, "field", "term", "bucket", (F.col("boost") * F.col("closeness")).alias("weight"), "idf", "avgdl")
+            # How many terms are near is known when the job runs: adaptive execution chooses how they reach the postings.
+            held = postings.select("field", "term", "bucket", "doc_id", "tf", "dl_q").join(near, ["field", "term", "bucket"])
+            parts.append(held.select(*keys, "doc_id", score.alias("score")))
         if "all" in kinds:
             every = level.where("kind = 'all'").select(*keys, F.col("boost").alias("score"))
             parts.append(s.store.docs(s.at).select("doc_id").join(F.broadcast(every)).select(*keys, "doc_id", "score"))
@@ -165,7 +181,7 @@ class _Batch:
                 words = self.spark.createDataFrame(words.toArrow(), words.schema)
             # Clauses of this level that count: leaves with a term, groups with a clause that counts.
             told = words.select("query_id", "clause_id").distinct()
-            counts = level.where("kind in ('prefix', 'all')").select("query_id", "clause_id").unionByName(told)
+            counts = level.where("kind in ('prefix', 'fuzzy', 'all')").select("query_id", "clause_id").unionByName(told)
             if alive is not None:
                 counts = counts.unionByName(alive)
             here = level.join(self._sized(counts), ["query_id", "clause_id"], "left_semi")
