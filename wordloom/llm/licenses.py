@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import whole
+from wordloom.llm.common import whole, written
 
 K = 3
 # Diagonals this far apart belong to one place: words put in or left out.
@@ -82,6 +82,7 @@ def places(docs: DataFrame, keys: list[str], base=BASE, passages=PASSAGES) -> Da
     votes = met.groupBy(*keys, *template, (F.col("_at") - F.col("t_at")).alias("_diagonal")).agg(
         F.collect_set("t_at").alias("_found")  # at most the template's grams
     )
+    votes = written(votes)  # few and narrow, used twice: the texts are read once for them
     full = votes.where("exact and size(_found) = n_grams").select(*keys, "template", "label", "exact", F.col("_diagonal").alias("start"), F.lit(1.0).alias("cover"))
     by = Window.partitionBy(*keys, "template").orderBy("_diagonal")
     widest = max((drift(p.split()) for p in passages), default=NEAR)
