@@ -22,6 +22,8 @@ def _re2(pattern: str) -> str:
     return re.sub(r"(?<!\\)([*+?])\+", r"\1", pattern)
 
 
+TREE_PATH = """coalesce(source, 'none') || '/' || CASE abs(doc_id) % 4 WHEN 0 THEN '' WHEN 1 THEN '_' WHEN 2 THEN '.' ELSE '.more/_' END || doc_id || '.txt'"""
+
 # -- text -------------------------------------------------------------------
 
 _LOWER = "lower(replace(replace({0}, 'Σ', 'σ'), 'İ', 'i'))"
@@ -376,6 +378,9 @@ def oracle_sql() -> dict[str, str]:
     both = FIELDS
     return {
         # sources
+        "scan_tree": f"SELECT {TREE_PATH} AS path, octet_length(encode(coalesce(text, ''))) AS length, md5(coalesce(text, '')) AS content_md5 FROM documents WHERE doc_id % 7 <> 0",
+        "sync_stamps": f"""SELECT {TREE_PATH} AS path, CASE doc_id % 11 WHEN 1 THEN 'NEW' WHEN 2 THEN 'UPDATE' ELSE 'REMOVED' END AS state
+FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 11 IN (1, 2, 3)""",
         "scan_ext_filter": f"SELECT page_id, url AS path FROM pages WHERE regexp_matches({NAME.format('url')}, '[.](txt|html?)$')",
         "route_by_type": f"""SELECT page_id, url AS path, CASE WHEN {NAME.format('url')} LIKE '%.html' THEN '.html'
   WHEN {NAME.format('url')} LIKE '%.htm' THEN '.htm' ELSE 'plain' END AS route FROM pages""",

@@ -16,9 +16,10 @@ from wordloom.operators.topk import top_k
 from wordloom.plans.clause_table import score_clauses
 from wordloom.plans.search import Searcher
 from wordloom.plans.store import IndexStore
-from wordloom.plans.sync import sync
+from wordloom.plans.sync import sync, sync_tree
 from wordloom.sources.extract import DEFAULT_EXTRACTORS, extract, html_page, route
 from wordloom.sources.files import documents_corpus, has_type, pages_scan, spread
+from wordloom.sources.tree import list_files, read_files, write_files
 from wordloom.streaming.ingest import ingest, read_feed
 
 CONTENT = ("content",)
@@ -68,6 +69,42 @@ def content_md5(spark, sf):
     return docs.select("doc_id", C.fingerprint(F.col("content")).alias("content_md5"))
 
 
+def _tree_rows(spark, sf) -> DataFrame:
+    """The documents as files, three of four under a hidden name or folder, every seventh of another type."""
+    hidden = F.element_at(F.array(*map(F.lit, ("", "_", ".", ".more/_"))), (F.abs("doc_id") % 4 + 1).cast("int"))
+    ending = F.when(F.col("doc_id") % 7 == 0, ".md").otherwise(".txt")
+    name = F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), hidden, F.col("doc_id").cast("string"), ending)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return spread(docs.select("doc_id", name.alias("name"), F.coalesce("text", F.lit("")).alias("text")), "doc_id")
+
+
+def _below(folder: str, path: str = "path"):
+    """A path as seen from the folder of the tree."""
+    return F.substring_index(path, f"/{folder.rsplit('/', 1)[1]}/", -1)
+
+
+def scan_tree(spark, sf):
+    """Every file of a tree, hidden names included, written from the documents."""
+    folder, work = work_folder(spark), work_folder(spark)
+    write_files(_tree_rows(spark, sf).drop("doc_id"), folder)
+    files = list_files(spark, folder, work)
+    found = read_files(files, folder).join(files.select("path", "length"), "path")
+    return found.select(_below(folder).alias("path"), "length", C.fingerprint(F.col("bytes")).alias("content_md5"))
+
+
+def sync_stamps(spark, sf):
+    """Three syncs of a tree: all of it, unchanged, and with other, fewer and more files."""
+    folder = work_folder(spark)
+    rows = _tree_rows(spark, sf)
+    write_files(rows.where("doc_id % 11 <> 1").drop("doc_id"), folder)
+    store = IndexStore(spark, work_folder(spark), buckets=8, shards=8)
+    sync_tree(store, folder)
+    sync_tree(store, folder)
+    other = F.when(F.col("doc_id") % 11 == 2, F.concat("text", F.lit(" again"))).when(F.col("doc_id") % 11 == 1, F.col("text"))
+    write_files(rows.where("doc_id % 11 in (1, 2, 3)").select("name", other.alias("text")), folder)
+    return sync_tree(store, folder).changes.select(_below(folder).alias("path"), "state")
+
+
 # -- changes ------------------------------------------------------------------
 
 
@@ -332,7 +369,7 @@ def exact_path(spark, sf):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
-        scan_ext_filter, route_by_type, plain_docs, html_text, extractor_routes, content_md5,
+        scan_ext_filter, scan_tree, sync_stamps, route_by_type, plain_docs, html_text, extractor_routes, content_md5,
         change_states, change_counts, removed_paths, upsert_docs, keyword_filter,
         manifest_roundtrip, index_roundtrip, sync_full, stream_ingest, stream_late,
         tokens, tokens_nostop, stems, normalised_terms,
@@ -359,6 +396,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "phrase": _matches(Q.phrase("re ed"), fields=CONTENT),
         "phrase_gap": _matches(Q.phrase("er of re"), fields=CONTENT),
         "phrase_slop": _matches(Q.phrase("from ed", slop=3), fields=CONTENT),
+        "phrase_slop3": _matches(Q.phrase("from ed from", slop=6), fields=CONTENT),
         "prefix": _matches(Q.prefix("tion")),
         "wildcard": _matches(Q.wildcard("Th?n*ed", boost=1.5)),
         "regexp": _matches(Q.regexp("th(re|an)+ing?")),

@@ -175,6 +175,15 @@ class IndexStore:
         folder = f"{self.root}/seen"
         return self.spark.read.parquet(folder).drop("batch") if _exists(self.spark, folder) else None
 
+    def stamps(self) -> tuple[int, DataFrame | None]:
+        """Number and rows ``path, length, modified, content_md5`` of the newest stamps of files."""
+        folder = f"{self.root}/stamps"
+        if not _exists(self.spark, folder):
+            return 0, None
+        stamps = self.spark.read.schema("path string, length bigint, modified timestamp, content_md5 string, batch bigint").parquet(folder)
+        newest = stamps.agg(F.max("batch")).first()[0] or 0
+        return newest, stamps.where(F.col("batch") == newest).drop("batch") if newest else None
+
     def terms(self, at: Commit | None = None) -> DataFrame:
         """``field, term, df, ttf, lead_docs, max_tf, min_dl_q, bucket`` over live documents.
 
@@ -224,6 +233,10 @@ class IndexStore:
         """Add ``path, ts, hash`` to what feeds have brought."""
         versions.write.parquet(f"{self.root}/seen/batch={uuid.uuid4().hex}")
 
+    def stamp(self, files: DataFrame, number: int) -> None:
+        """Replace the stamps; rows of a write that failed only cost reading their files again."""
+        files.write.mode("overwrite").parquet(f"{self.root}/stamps/batch={number}")
+
     def write_forward(self, documents: DataFrame, segment: int, at: Commit, paths: DataFrame) -> None:
         """Analyse documents and store them with their ids.
 

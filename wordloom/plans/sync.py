@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterable, Mapping
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -10,8 +12,12 @@ from pyspark.sql import functions as F
 from wordloom.operators import changes as C
 from wordloom.plans.store import Commit, IndexStore
 from wordloom.sources.extract import DEFAULT_EXTRACTORS, Extractor, extract, plain_text
+from wordloom.sources.files import FILE_TYPES
+from wordloom.sources.tree import list_files, read_files
 
 STATES = ("NEW", "UPDATE", "KNOWN", "REMOVED")
+# A file changed so shortly before it was listed may change again without another time.
+SETTLED = timedelta(seconds=2)
 
 
 class SyncResult:
@@ -53,6 +59,49 @@ def sync(
     return _apply(store, at, hashed, found, extractors, fallback)
 
 
+def sync_tree(
+    store: IndexStore,
+    folder: str,
+    file_types: Iterable[str] = FILE_TYPES,
+    charset: str = "UTF-8",
+    extractors: Mapping[str, Extractor] = DEFAULT_EXTRACTORS,
+    fallback: Extractor = plain_text,
+) -> SyncResult:
+    """``sync`` with a file tree, opening only files that may have changed.
+
+    A file with the path, length and time of change of last time is taken for
+    the same, unless it was changed within ``SETTLED`` of its listing or the
+    index has another content for it by now; who changes files and sets their
+    times back uses ``sync``.  The others are read once, into the index's work
+    folder, and compared by hash; a first load stores no copy.
+    """
+    at, began = store.commit(), datetime.now(timezone.utc)
+    work = f"{store.root}/work"
+    files = list_files(store.spark, folder, work, file_types)
+    number, stamps = store.stamps()
+    if not at.segments:
+        suspects = files
+        result = _first_load(store, at, _hashed(read_files(files, folder, charset)), extractors, fallback)
+    else:
+        manifest = _manifest_with_ids(store, at)
+        suspects, same = files, manifest.select("path", "content_md5").limit(0)
+        if stamps is not None:
+            same = files.join(stamps, ["path", "length", "modified"]).join(manifest, ["path", "content_md5"], "left_semi")
+            same = same.select("path", "content_md5")
+            suspects = files.join(same, "path", "left_anti")
+        staged = f"{work}/suspects-{uuid.uuid4().hex}"
+        read = _hashed(read_files(suspects, folder, charset))
+        read.write.parquet(staged)
+        read = store.spark.read.schema(read.schema).parquet(staged)
+        found = C.classify(read.select("path", "content_md5").unionByName(same), manifest)
+        result = _apply(store, at, read, found, extractors, fallback)
+    if sum(result.counts.values()) > result.counts["KNOWN"] or not suspects.isEmpty():
+        # After the commit: without them the next sync reads more, not less.
+        settled = files.where(F.col("modified") < F.lit(began - SETTLED))
+        store.stamp(settled.join(store.manifest(), "path"), number + 1)
+    return result
+
+
 def apply_feed(
     store: IndexStore,
     feed: DataFrame,

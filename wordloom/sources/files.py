@@ -38,7 +38,8 @@ def scan_files(
 
     The type test runs on the file listing, before any file is opened, and the
     bytes of a file are read only where a later step uses them.  Malformed
-    UTF-8 becomes U+FFFD; other charsets are decoded strictly.
+    UTF-8 becomes U+FFFD; other charsets are decoded strictly.  Spark's listing
+    leaves out names that begin with ``_`` or ``.``; ``tree.scan_tree`` has them.
     """
     files = (
         spark.read.format("binaryFile")
@@ -46,18 +47,20 @@ def scan_files(
         .option("pathGlobFilter", "{" + ",".join("*" + _any_case(t) for t in sorted(file_types)) + "}")
         .load(folder)
     )
-    if charset.upper() == "UTF-8":
-        text = F.make_valid_utf8(F.col("content").cast("string"))
-    else:
-        text = F.decode("content", charset)
     return files.where(has_type(F.col("path"), file_types)).select(
         # One spelling per file, whatever the scheme prefix of the listing.
         F.regexp_replace("path", "^file:/+", "/").alias("path"),
         F.col("content").alias("bytes"),
-        text.alias("text"),
+        decoded(F.col("content"), charset).alias("text"),
     )
 
 
+def decoded(content: Column, charset: str) -> Column:
+    if charset.upper() == "UTF-8":
+        return F.make_valid_utf8(content.cast("string"))
+    return F.decode(content, charset)
+
+
 def _any_case(file_type: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in file_type)
 
