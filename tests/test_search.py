@@ -9,6 +9,7 @@ import pytest
 from wordloom.functions.analysis import STOP_WORDS
 from wordloom.operators import clauses as Q
 from wordloom.operators.topk import top_k
+from wordloom.operators.phrases import apart
 from wordloom.plans.clause_table import KINDS as TABLE_KINDS
 from wordloom.plans.clause_table import score_clauses
 from wordloom.plans.search import Searcher
@@ -123,7 +124,11 @@ class Plain:
                 idf = sum(self.idf(f, len(p)) for p in lists)
                 for i in set.intersection(*map(set, lists)):
                     shifted = [[x - (p - words[0][0]) for x in l[i]] for (p, _), l in zip(words, lists)]
-                    tf = sloppy(shifted, clause.slop) if clause.slop else len(set.intersection(*map(set, shifted)))
+                    terms = [w for _, w in words]
+                    if clause.slop and len(set(terms)) < len(terms):
+                        tf = apart(shifted, terms, clause.slop)
+                    else:
+                        tf = sloppy(shifted, clause.slop) if clause.slop else len(set.intersection(*map(set, shifted)))
                     if tf:
                         out[i] += clause.boost * self.score(f, i, tf, idf)
             else:
@@ -216,6 +221,8 @@ CASES = {
     "sloppy": [P("kal mun", slop=2)],
     "sloppy of three": [P("kal mun pir", slop=5)],
     "sloppy with a gap": [P("kal the zol", slop=3)],
+    "sloppy with a repeated term": [P("kal mun kal", slop=3)],
+    "sloppy phrases of all kinds": [P("kal kal", slop=2), P("mun kal", slop=1), P("mun kal"), P("mun zol mun", slop=9, occur="must")],
     "phrases together": [P("kal mun"), P("mun kal", slop=4, boost=2.0), T("zol", occur="must")],
     "prefix": [Q.prefix("pi")],
     "wildcard": [Q.wildcard("k?l*", boost=2.0)],

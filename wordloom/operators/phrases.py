@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ def phrase_candidates(postings: DataFrame, phrase_terms: DataFrame, few: bool) -
     rows = (
         postings.select("field", "term", "doc_id", "dl_q", "positions", "bucket")
         .join(F.broadcast(phrase_terms), ["field", "term", "bucket"])
-        .select(*KEYS, "dl_q", "n_terms", "slop", "idx", "shift", "positions", "rarest")
+        .select(*KEYS, "dl_q", "n_terms", "slop", "idx", "shift", "term", "positions", "rarest")
     )
     rare = rows.where("rarest")
     holders = rare.select(*KEYS)
@@ -34,7 +35,7 @@ def phrase_candidates(postings: DataFrame, phrase_terms: DataFrame, few: bool) -
             F.first("dl_q").alias("dl_q"),
             F.first("n_terms").alias("n_terms"),
             F.first("slop").alias("slop"),
-            F.collect_list(F.struct("idx", "shift", "positions")).alias("found"),
+            F.collect_list(F.struct("idx", "shift", "term", "positions")).alias("found"),
         )
         .where(F.size("found") == F.col("n_terms"))
     )
@@ -104,6 +105,62 @@ def sloppy_frequency(candidates: DataFrame, max_terms: int) -> DataFrame:
     )
 
 
+def apart(starts: list, terms: list, slop: int) -> float:
+    """What ``sloppy_frequency`` sums, with no position serving two places.
+
+    ``starts[j]`` are the shifted positions of place j in order, ``terms[j]``
+    its term.  Places of one term share their positions, so they meet exactly
+    where they have come equally far; the one with the smaller shifted
+    position, or else the earlier one, then moves on.  The m-th place of a
+    term begins at its m-th position.  A window ends when the last place has
+    passed the one that was next when its turn came.
+    """
+    places = range(len(starts))
+    twins = [[k for k in places if k != j and terms[k] == terms[j]] for j in places]
+    at = [sum(k < j for k in twins[j]) for j in places]
+    if any(at[j] >= len(starts[j]) for j in places):
+        return 0.0
+    freq, far = 0.0, max(starts[j][at[j]] for j in places)
+
+    def key(j: int) -> tuple[int, int]:
+        return starts[j][at[j]], j
+
+    while True:
+        last, following = sorted(places, key=key)[:2]
+        turn = key(following)[0]
+        width = far - key(last)[0]
+        while key(last)[0] <= turn:
+            width = min(width, far - key(last)[0])
+            moving = last
+            while moving is not None:
+                at[moving] += 1
+                if at[moving] == len(starts[moving]):
+                    return freq + (1 / (1 + width) if width <= slop else 0.0)
+                far = max(far, key(moving)[0])
+                met = [k for k in twins[moving] if at[k] == at[moving]]
+                moving = min(moving, met[0], key=key) if met else None
+        if width <= slop:
+            freq += 1 / (1 + width)
+
+
+def repeated_frequency(candidates: DataFrame) -> DataFrame:
+    """``sloppy_frequency`` for phrases that hold a term more than once.
+
+    Whether two places may stand where they do depends on the whole walk
+    before, so it is made here document by document in an Arrow function, over
+    the positions of the candidates only.
+    """
+
+    @F.pandas_udf("double")
+    def walk(starts: pd.Series, terms: pd.Series, slop: pd.Series) -> pd.Series:
+        return pd.Series([apart(s, list(t), n) for s, t, n in zip(starts, terms, slop)], dtype="float64")
+
+    places = F.array_sort("found")
+    starts = F.transform(places, lambda t: F.transform(t["positions"], lambda p: p - t["shift"]))
+    freq = walk(starts, F.transform(places, lambda t: t["term"]), F.col("slop"))
+    return candidates.withColumn("freq", freq).where("freq > 0").select(*KEYS, "dl_q", "freq")
+
+
 def _walk_order(points: DataFrame) -> DataFrame:
     """Add ``turn``, the order of terms that share a shifted position.
 

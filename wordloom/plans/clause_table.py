@@ -104,9 +104,9 @@ class _Batch:
             "*", F.posexplode(F.filter(F.transform(analyze_column("text"), lambda t, i: F.struct(i.alias("pos"), t.alias("term"))), lambda w: w["term"].isNotNull())).alias("idx", "w")
         )
         of = Window.partitionBy("query_id", "clause_id")
-        words = words.withColumns({"n_terms": F.count("*").over(of), "shift": F.col("w.pos") - F.min("w.pos").over(of)})
+        words = words.withColumns({"n_terms": F.count("*").over(of), "repeats": F.size(F.collect_set("w.term").over(of)) < F.count("*").over(of), "shift": F.col("w.pos") - F.min("w.pos").over(of)})
         return words.select(
-            "query_id", "clause_id", "parent", "occur", "kind", "boost", "slop", "idx", "n_terms", F.col("shift").cast("int").alias("shift"),
+            "query_id", "clause_id", "parent", "occur", "kind", "boost", "slop", "idx", "n_terms", "repeats", F.col("shift").cast("int").alias("shift"),
             F.col("w.term").alias("term"), self.searcher.store.bucket(F.col("w.term")).alias("bucket"), F.explode(self._fields()).alias("field"),
         )
 
@@ -125,9 +125,12 @@ class _Batch:
         parts = [held.select(*keys, "doc_id", score.alias("score"))]
 
         several = words.where("kind = 'phrase' and n_terms > 1")
-        longest = several.agg(F.max("n_terms"), F.max("slop")).first()
+        sloppy = F.col("slop") > 0
+        longest = several.agg(
+            F.max("n_terms"), F.max(F.when(sloppy & ~F.col("repeats"), F.col("n_terms"))), F.max(sloppy & F.col("repeats"))
+        ).first()
         if longest[0]:
-            parts.append(self._phrase_hits(several, terms, postings, keys, longest[0], longest[1] > 0))
+            parts.append(self._phrase_hits(several, terms, postings, keys, longest[1], longest[2]))
 
         kinds = {r["kind"] for r in level.select("kind").distinct().collect()}  # of KINDS
         if "prefix" in kinds:
@@ -154,7 +157,7 @@ class _Batch:
             out = out.unionByName(part)
         return out
 
-    def _phrase_hits(self, words, terms, postings, keys, longest: int, sloppy: bool) -> DataFrame:
+    def _phrase_hits(self, words, terms, postings, keys, longest: int | None, repeats: bool) -> DataFrame:
         s = self.searcher
         of = ["query_id", "clause_id", "field"]
         known = s._with_idf(self._sized(words).join(terms, ["field", "term", "bucket"]))
@@ -162,11 +165,15 @@ class _Batch:
         rarest = F.row_number().over(window.orderBy("df", "idx")) == 1
         known = known.withColumns({"found": F.count("*").over(window), "idfs": F.sum("idf").over(window), "rarest": rarest})
         known = known.where("found = n_terms").withColumn("phrase_id", F.struct("query_id", "clause_id"))
-        asked = known.select("phrase_id", "field", "term", "bucket", "idx", "shift", F.col("n_terms").cast("int").alias("n_terms"), "slop", "rarest")
+        asked = known.select("phrase_id", "field", "term", "bucket", "idx", "shift", F.col("n_terms").cast("int").alias("n_terms"), "slop", "rarest", "repeats")
         parts = [PH.exact_frequency(PH.phrase_candidates(postings, asked.where("slop = 0"), False))]
-        if sloppy:
-            parts.append(PH.sloppy_frequency(PH.phrase_candidates(postings, asked.where("slop > 0"), False), longest))
-        freq = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if longest:
+            parts.append(PH.sloppy_frequency(PH.phrase_candidates(postings, asked.where("slop > 0 and not repeats"), False), longest))
+        if repeats:
+            parts.append(PH.repeated_frequency(PH.phrase_candidates(postings, asked.where("slop > 0 and repeats"), False)))
+        freq = parts[0]
+        for part in parts[1:]:
+            freq = freq.unionByName(part)
         facts = known.where("rarest").select("phrase_id", *keys, "field", "boost", "idfs", "avgdl")
         score = F.col("boost") * term_score(s.model, F.col("idfs"), F.col("freq"), F.col("dl_q"), F.col("avgdl"))
         return freq.join(self._sized(facts), ["phrase_id", "field"]).select(*keys, "doc_id", score.alias("score"))

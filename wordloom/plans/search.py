@@ -630,15 +630,25 @@ class Searcher:
             "n_terms int, slop int, rarest boolean"
         )
         frequencies = []
-        for sloppy in (False, True):
-            chosen = [r for r in rows if (r["slop"] > 0) == sloppy]
+        terms = {}
+        for r in rows:
+            terms.setdefault(r["phrase_id"], set()).add(r["term"])
+        for sloppy, repeats in ((False, None), (True, False), (True, True)):
+            chosen = [
+                r
+                for r in rows
+                if (r["slop"] > 0) == sloppy
+                and (not sloppy or (len(terms[r["phrase_id"]]) < r["n_terms"]) == repeats)
+            ]
             if not chosen:
                 continue
             rare_rows = sum(known[r["field"], r["term"]]["df"] for r in chosen if r["rarest"])
             candidates = PH.phrase_candidates(
                 postings, local_rows(self.spark, chosen, schema), rare_rows <= BROADCAST_ROWS
             )
-            if sloppy:
+            if repeats:
+                frequencies.append(PH.repeated_frequency(candidates))
+            elif sloppy:
                 frequencies.append(PH.sloppy_frequency(candidates, max(r["n_terms"] for r in chosen)))
             else:
                 frequencies.append(PH.exact_frequency(candidates))
