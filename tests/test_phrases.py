@@ -1,9 +1,12 @@
 """Sloppy phrases that hold a term more than once."""
 
 import itertools
+import os
 import random
 
 import pytest
+from wordloom.catalog.queries import queries
+from wordloom.catalog.session import documents_index
 from test_search import sloppy
 from wordloom.operators.phrases import apart
 
@@ -65,3 +68,16 @@ def test_against_all_assignments(phrase):
         assert (freq > 0) == (least is not None and least <= slop), (text, slop)
         seen.add(freq > 0)
     assert len(seen) == 2
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_registered_query(spark):
+    folder = "/root/testdata/sf0.001"
+    found = {r["doc_id"] for r in queries()["phrase_slop3"](spark, folder).collect()}
+    held = documents_index(spark, folder).postings().where("field = 'content' and term in ('from', 'ed')")
+    texts = {}
+    for r in held.collect():
+        texts.setdefault(r["doc_id"], {}).update(dict.fromkeys(r["positions"], r["term"]))
+    texts = {d: " ".join(at.get(i, "-") for i in range(max(at) + 1)) for d, at in texts.items()}
+    widths = {d: narrowest(t, "from ed from") for d, t in texts.items()}
+    assert found == {d for d, w in widths.items() if w is not None and w <= 6}

@@ -152,12 +152,15 @@ def repeated_frequency(candidates: DataFrame) -> DataFrame:
     """
 
     @F.pandas_udf("double")
-    def walk(starts: pd.Series, terms: pd.Series, slop: pd.Series) -> pd.Series:
-        return pd.Series([apart(s, list(t), n) for s, t, n in zip(starts, terms, slop)], dtype="float64")
-
-    places = F.array_sort("found")
-    starts = F.transform(places, lambda t: F.transform(t["positions"], lambda p: p - t["shift"]))
-    freq = walk(starts, F.transform(places, lambda t: t["term"]), F.col("slop"))
+    def walk(idx: pd.Series, shift: pd.Series, term: pd.Series, positions: pd.Series, slop: pd.Series) -> pd.Series:
+        freqs = []
+        for of, shifts, terms, held, n in zip(idx, shift, term, positions, slop):
+            order = sorted(range(len(of)), key=lambda i: of[i])
+            starts = [[int(p) - int(shifts[i]) for p in held[i]] for i in order]
+            freqs.append(apart(starts, [terms[i] for i in order], n))
+        return pd.Series(freqs, dtype="float64")
+
+    freq = walk("found.idx", "found.shift", "found.term", "found.positions", "slop")
     return candidates.withColumn("freq", freq).where("freq > 0").select(*KEYS, "dl_q", "freq")
 
 

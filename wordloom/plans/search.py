@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -652,7 +653,7 @@ class Searcher:
                 frequencies.append(PH.sloppy_frequency(candidates, max(r["n_terms"] for r in chosen)))
             else:
                 frequencies.append(PH.exact_frequency(candidates))
-        freq = frequencies[0] if len(frequencies) == 1 else frequencies[0].unionByName(frequencies[1])
+        freq = reduce(DataFrame.unionByName, frequencies)
         facts = local_rows(
             self.spark,
             info,
