@@ -341,6 +341,13 @@ def test_tokens(docs, nothing):
     counter = tokens._Counter(P.path("byte_bpe_50k.json"))
     odd = ["".join(rng.choice("ab'1 .\n\té s") for _ in range(rng.randint(0, 40))) for _ in range(3000)]
     assert counter.lengths(odd) == [len(e) for e in encoder.encode_batch(odd, add_special_tokens=False)]
+    # Texts beyond a batch, pieces beyond a block, and a worker that has to forget.
+    assert list(tokens.batches_of(["ab", "ä", "", "c"], 4)) == [["ab", "ä"], ["", "c"]]
+    long = ["wörd " * 300_000, "x" * 50_000, "".join(chr(0x4E00 + i % 900) for i in range(40_000)), *(f"w{i} v{i}" for i in range(500))]
+    expected = [len(e) for e in encoder.encode_batch(long, add_special_tokens=False)]
+    for _ in range(2):
+        assert [n for texts in tokens.batches_of(long, tokens.BATCH_BYTES) for n in counter.lengths(texts)] == expected
+        counter.size = tokens.REMEMBERED + 1
 
 
 def test_language(spark, docs, nothing):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,10 +10,30 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.common import whole
 
-# Characters of text handed to one call of the encoder.
-BATCH_CHARS = 1 << 20
-# Entries that a worker remembers; it forgets all beyond, which only costs time.
-REMEMBERED = 1 << 18
+# UTF-8 bytes of texts counted together, and of new pieces handed to one call of the encoder.
+BATCH_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 14
+# Bytes that a worker remembers, an entry taking ENTRY_BYTES besides its piece; it forgets all beyond, which only costs time.
+REMEMBERED = 1 << 25
+ENTRY_BYTES = 120
+
+
+def n_bytes(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
+def batches_of(texts: Iterable[str], most: int) -> Iterator[list[str]]:
+    """The texts in order, in lists that end where they reach ``most`` bytes."""
+    held: list[str] = []
+    size = 0
+    for t in texts:
+        held.append(t)
+        size += n_bytes(t)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 class _Counter:
@@ -32,6 +52,7 @@ class _Counter:
         self.encoder = Tokenizer.from_file(path)
         # Known lengths by piece, after a space, after a line end and at a text's start.
         self.known: dict[str, dict[str, int]] = {" ": {}, "\n": {}, "": {}}
+        self.size = 0
 
     @staticmethod
     def _clean(piece: str) -> bool:
@@ -61,16 +82,17 @@ class _Counter:
         return list(out.items())
 
     def lengths(self, texts: list[str]) -> list[int]:
-        if sum(map(len, self.known.values())) > REMEMBERED:
+        if self.size > REMEMBERED:
+            self.size = 0
             for known in self.known.values():
                 known.clear()
         cut = [self.pieces(t) for t in texts]
         for mark, known in self.known.items():
-            new = list({p for parts in cut for m, ps in parts if m == mark for p in ps} - known.keys())
-            for i in range(0, len(new), 2048):
-                block = new[i : i + 2048]
+            new = {p for parts in cut for m, ps in parts if m == mark for p in ps} - known.keys()
+            for block in batches_of(new, BLOCK_BYTES):
                 for p, e in zip(block, self.encoder.encode_batch_fast([mark + p for p in block], add_special_tokens=False)):
                     known[p] = len(e)
+                    self.size += n_bytes(p) + ENTRY_BYTES
         return [sum(sum(map(self.known[m].__getitem__, ps)) for m, ps in parts) for parts in cut]
 
 
@@ -80,20 +102,14 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text", out:
     Every row keeps its own count, repeated rows and rows without an id too; an
     existing column of the name ``out`` is replaced.  The path must be readable
     on the executors.  Nothing is shuffled: scan tasks are balanced by bytes,
-    and within a task the encoder's batches are cut by characters.
+    and within a task the encoder's batches are cut by bytes.
     """
 
     @F.pandas_udf("long")
     def lengths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         counter = _Counter(tokenizer_path)
         for batch in batches:
-            counts, held, size = [], [], 0
-            for t in batch:
-                held.append(t)
-                size += len(t)
-                if size >= BATCH_CHARS:
-                    counts += counter.lengths(held)
-                    held, size = [], 0
-            yield pd.Series(counts + counter.lengths(held), dtype="int64")
+            counts = [n for texts in batches_of(batch, BATCH_BYTES) for n in counter.lengths(texts)]
+            yield pd.Series(counts, dtype="int64")
 
     return docs.withColumn(out, lengths(whole(text)))
