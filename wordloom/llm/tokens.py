@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,22 +20,14 @@ REMEMBERED = 1 << 25
 ENTRY_BYTES = 120
 
 
-def n_bytes(text: str) -> int:
-    return len(text) if text.isascii() else len(text.encode())
-
-
-def batches_of(texts: Iterable[str], most: int) -> Iterator[list[str]]:
-    """The texts in order, in lists that end where they reach ``most`` bytes."""
-    held: list[str] = []
-    size = 0
-    for t in texts:
-        held.append(t)
-        size += n_bytes(t)
-        if size >= most:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def batches_of(texts: Sequence[str], most: int) -> Iterator[Sequence[str]]:
+    """The texts in order, in runs that end where they reach ``most`` bytes."""
+    ends = list(accumulate(map(len, map(str.encode, texts))))
+    at = 0
+    while at < len(ends):
+        to = bisect_left(ends, most + (ends[at - 1] if at else 0), at) + 1
+        yield texts[at:to]
+        at = to
 
 
 class _Counter:
@@ -88,11 +82,11 @@ class _Counter:
                 known.clear()
         cut = [self.pieces(t) for t in texts]
         for mark, known in self.known.items():
-            new = {p for parts in cut for m, ps in parts if m == mark for p in ps} - known.keys()
+            new = list({p for parts in cut for m, ps in parts if m == mark for p in ps} - known.keys())
             for block in batches_of(new, BLOCK_BYTES):
                 for p, e in zip(block, self.encoder.encode_batch_fast([mark + p for p in block], add_special_tokens=False)):
                     known[p] = len(e)
-                    self.size += n_bytes(p) + ENTRY_BYTES
+            self.size += sum(map(len, map(str.encode, new))) + ENTRY_BYTES * len(new)
         return [sum(sum(map(self.known[m].__getitem__, ps)) for m, ps in parts) for parts in cut]
 
 
@@ -109,7 +103,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text", out:
     def lengths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         counter = _Counter(tokenizer_path)
         for batch in batches:
-            counts = [n for texts in batches_of(batch, BATCH_BYTES) for n in counter.lengths(texts)]
+            counts = [n for texts in batches_of(batch.tolist(), BATCH_BYTES) for n in counter.lengths(texts)]
             yield pd.Series(counts, dtype="int64")
 
     return docs.withColumn(out, lengths(whole(text)))
