@@ -8,6 +8,7 @@ from conftest import write_files
 from wordloom.plans.store import IndexStore
 from wordloom.plans.sync import apply_feed, sync, sync_tree
 from wordloom.sources.files import scan_files
+from wordloom.catalog import queries
 from wordloom.sources.tree import list_files, read_files, scan_tree
 
 TREE = {
@@ -135,3 +136,10 @@ def test_sync_tree_gives_what_sync_gives(spark, sample_folder, tmp_path):
     one, two = (IndexStore(spark, str(tmp_path / n), buckets=2, shards=2) for n in ("one", "two"))
     assert sync_tree(one, sample_folder).counts == sync(two, scan_files(spark, sample_folder)).counts
     assert texts(one) == texts(two)
+
+
+def test_scan_tree_query_joins_nothing(spark):
+    """The lengths come along with the contents: no side could be sent through the driver."""
+    found = queries.scan_tree(spark, "/root/testdata/sf0.001")
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.where("length is null").isEmpty() and not found.isEmpty()

@@ -87,8 +87,7 @@ def scan_tree(spark, sf):
     """Every file of a tree, hidden names included, written from the documents."""
     folder, work = work_folder(spark), work_folder(spark)
     write_files(_tree_rows(spark, sf).drop("doc_id"), folder)
-    files = list_files(spark, folder, work)
-    found = read_files(files, folder).join(files.select("path", "length"), "path")
+    found = read_files(list_files(spark, folder, work), folder)
     return found.select(_below(folder).alias("path"), "length", C.fingerprint(F.col("bytes")).alias("content_md5"))
 
 

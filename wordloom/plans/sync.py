@@ -81,7 +81,7 @@ def sync_tree(
     number, stamps = store.stamps()
     if not at.segments:
         suspects = files
-        result = _first_load(store, at, _hashed(read_files(files, folder, charset)), extractors, fallback)
+        result = _first_load(store, at, _hashed(read_files(files, folder, charset).drop("length")), extractors, fallback)
     else:
         manifest = _manifest_with_ids(store, at)
         suspects, same = files, manifest.select("path", "content_md5").limit(0)
@@ -90,7 +90,7 @@ def sync_tree(
             same = same.select("path", "content_md5")
             suspects = files.join(same, "path", "left_anti")
         staged = f"{work}/suspects-{uuid.uuid4().hex}"
-        read = _hashed(read_files(suspects, folder, charset))
+        read = _hashed(read_files(suspects, folder, charset).drop("length"))
         read.write.parquet(staged)
         read = store.spark.read.schema(read.schema).parquet(staged)
         found = C.classify(read.select("path", "content_md5").unionByName(same), manifest)

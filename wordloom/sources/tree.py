@@ -104,7 +104,7 @@ def list_files(spark: SparkSession, folder: str, work: str, file_types: Iterable
 
 
 def read_files(files: DataFrame, folder: str, charset: str = "UTF-8") -> DataFrame:
-    """``path, bytes, text`` of the listed files of a tree.
+    """``path, length, bytes, text`` of the listed files of a tree, the length as it was listed.
 
     Files are dealt to tasks so that each has about ``TASK_BYTES``; a task
     hands them on by ``BATCH_BYTES``.  A file that is gone since the listing has
@@ -117,32 +117,37 @@ def read_files(files: DataFrame, folder: str, charset: str = "UTF-8") -> DataFra
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system = _located(folder)[0]
-        paths, contents, held = [], [], 0
+        paths, lengths, contents, held = [], [], [], 0
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"path": paths, "length": pa.array(lengths, pa.int64()), "bytes": pa.array(contents, pa.binary())})
+
         for of in batches:
-            for path in of.column("path").to_pylist():
+            for path, length in zip(of.column("path").to_pylist(), of.column("length").to_pylist()):
                 try:
                     with system.open_input_stream(path.removeprefix(before), compression=None) as stream:
                         content = stream.read()
                 except FileNotFoundError:
                     continue
                 paths.append(path)
+                lengths.append(length)
                 contents.append(content)
                 held += len(content)
                 if held >= BATCH_BYTES:
-                    yield pa.RecordBatch.from_pydict({"path": paths, "bytes": pa.array(contents, pa.binary())})
-                    paths, contents, held = [], [], 0
+                    yield batch()
+                    paths, lengths, contents, held = [], [], [], 0
         if paths:
-            yield pa.RecordBatch.from_pydict({"path": paths, "bytes": pa.array(contents, pa.binary())})
+            yield batch()
 
-    rows = files.select("path").repartition(int(tasks), "path").mapInArrow(read, "path string, bytes binary")
-    return rows.select("path", "bytes", decoded(F.col("bytes"), charset).alias("text"))
+    rows = files.select("path", "length").repartition(int(tasks), "path").mapInArrow(read, "path string, length bigint, bytes binary")
+    return rows.select("path", "length", "bytes", decoded(F.col("bytes"), charset).alias("text"))
 
 
 def scan_tree(
     spark: SparkSession, folder: str, work: str, file_types: Iterable[str] = FILE_TYPES, charset: str = "UTF-8"
 ) -> DataFrame:
     """``scan_files`` with the hidden names: ``path, bytes, text`` of every file of a wanted type."""
-    return read_files(list_files(spark, folder, work, file_types), folder, charset)
+    return read_files(list_files(spark, folder, work, file_types), folder, charset).drop("length")
 
 
 def write_files(files: DataFrame, folder: str) -> None:
