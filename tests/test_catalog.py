@@ -39,3 +39,12 @@ def test_equals_sql(spark, tables, name):
 def test_entry(spark):
     rows = entry_points.entry(spark).collect()
     assert rows and rows[0]["rank"] == 1
+
+
+def test_ranked_results_of_pages_with_one_address(spark, tables, tmp_path):
+    rows = [(1, "http://a/x.html", "<title>T</title>tion"), (2, "http://a/x.html", "html from"), (3, None, "from"), (4, "", "tion tion")]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = entry_points.queries()["ranked_results"](spark, str(tmp_path)).select("rank", "file_name", "display_title", "path").collect()
+    assert [r["rank"] for r in found] == [1, 2, 3, 4]
+    shown = sorted(((r["file_name"], r["display_title"], r["path"]) for r in found), key=repr)
+    assert shown == sorted([("x.html", "T", "http://a/x.html"), ("x.html", "", "http://a/x.html"), (None, None, None), ("", None, "")], key=repr)

@@ -346,7 +346,10 @@ def fuzzy_batch(spark, sf):
 
 def ranked_results(spark, sf):
     found = Searcher(pages_index(spark, sf)).search([Q.term("tion html from")], k=20)
-    return found.select(F.col("rank").cast("bigint").alias("rank"), "score", "file_name", "display_title", "path")
+    # The address stands behind the page's number; a page without one has the number only.
+    has_url, url = F.contains("path", F.lit("/")), F.substr("path", F.instr("path", "/") + 1)
+    file_name = F.when(has_url, F.col("file_name")).alias("file_name")
+    return found.select(F.col("rank").cast("bigint").alias("rank"), "score", file_name, "display_title", F.when(has_url, url).alias("path"))
 
 
 def stored_fields(spark, sf):
