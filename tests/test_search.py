@@ -8,6 +8,7 @@ import pytest
 
 from wordloom.functions.analysis import STOP_WORDS
 from wordloom.operators import clauses as Q
+from wordloom.operators import postings as P
 from wordloom.operators.topk import top_k
 from wordloom.operators.phrases import apart
 from wordloom.plans.clause_table import KINDS as TABLE_KINDS
@@ -478,3 +479,13 @@ def test_query_reads_only_its_folders(corpus):
     assert "In(term, [kal])" in plan or "EqualTo(term,kal)" in plan
     assert "positions" not in plan
     assert "PartitionFilters: [(bucket" in plan.replace("isnotnull(bucket", "") or "bucket#" in plan
+
+
+def test_text_lengths_do_not_stem(spark):
+    rows = [(1, "The baker's ovens, running: ovens", "a.txt"), (2, "", "of the"), (3, None, None), (4, "it was", "x 7 ß")]
+    corpus = spark.createDataFrame(rows, "doc_id bigint, content string, title string")
+    found = P.text_lengths(corpus)
+    expected = P.doc_lengths(P.build_postings(corpus))
+    assert sorted(found.collect()) == sorted(expected.collect())
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < len(expected._jdf.queryExecution().optimizedPlan().toString()) / 4

@@ -259,11 +259,11 @@ def postings(spark, sf):
 
 
 def doc_lengths(spark, sf):
-    return P.doc_lengths(_postings(spark, sf)).select("field", "doc_id", F.col("dl").cast("bigint").alias("dl"))
+    return P.text_lengths(_corpus(spark, sf)).select("field", "doc_id", F.col("dl").cast("bigint").alias("dl"))
 
 
 def length_quantised(spark, sf):
-    lengths = P.doc_lengths(_postings(spark, sf))
+    lengths = P.text_lengths(_corpus(spark, sf))
     return lengths.select("field", "doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("dl", "dl_q")])
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.analysis import analyze_column, bind
+from wordloom.functions.analysis import analyze_column, bind, drop_stop_words, tokenize
 from wordloom.functions.lengths import quantize_length
 
 FIELDS = ("content", "title")
@@ -107,6 +107,16 @@ def doc_lengths(postings: DataFrame) -> DataFrame:
     return postings.where("lead").select("field", "doc_id", "dl", "dl_q")
 
 
+def text_lengths(corpus: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
+    """``doc_lengths`` from the texts: words that are no stop words are counted, not stemmed."""
+    per_field = [
+        F.struct(F.lit(f).alias("field"), F.size(F.array_compact(drop_stop_words(tokenize(F.col(f))))).alias("dl")) for f in fields
+    ]
+    # The outer form, as in ``postings_of``.
+    lengths = corpus.select("doc_id", F.inline_outer(F.array(*per_field))).where("dl > 0")
+    return lengths.select("field", "doc_id", "dl", quantize_length(F.col("dl")).alias("dl_q"))
+
+
 def term_dictionary(postings: DataFrame) -> DataFrame:
     """``field, term, df, ttf, lead_docs``: sums, so dictionaries add up.
 

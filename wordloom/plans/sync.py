@@ -16,6 +16,8 @@ from wordloom.sources.files import FILE_TYPES
 from wordloom.sources.tree import list_files, read_files
 
 STATES = ("NEW", "UPDATE", "KNOWN", "REMOVED")
+# Up to this many paths are handed to every task, some tens of megabytes.
+BROADCAST_PATHS = 200_000
 # A file changed so shortly before it was listed may change again without another time.
 SETTLED = timedelta(seconds=2)
 
@@ -86,9 +88,9 @@ def sync_tree(
         manifest = _manifest_with_ids(store, at)
         suspects, same = files, manifest.select("path", "content_md5").limit(0)
         if stamps is not None:
-            same = files.join(stamps, ["path", "length", "modified"]).join(manifest, ["path", "content_md5"], "left_semi")
-            same = same.select("path", "content_md5")
-            suspects = files.join(same, "path", "left_anti")
+            same = files.join(_shuffled(stamps), ["path", "length", "modified"])
+            same = same.join(_shuffled(manifest), ["path", "content_md5"], "left_semi").select("path", "content_md5")
+            suspects = files.join(_shuffled(same), "path", "left_anti")
         staged = f"{work}/suspects-{uuid.uuid4().hex}"
         read = _hashed(read_files(suspects, folder, charset).drop("length"))
         read.write.parquet(staged)
@@ -98,7 +100,7 @@ def sync_tree(
     if sum(result.counts.values()) > result.counts["KNOWN"] or not suspects.isEmpty():
         # After the commit: without them the next sync reads more, not less.
         settled = files.where(F.col("modified") < F.lit(began - SETTLED))
-        store.stamp(settled.join(store.manifest(), "path"), number + 1)
+        store.stamp(settled.join(_shuffled(store.manifest()), "path"), number + 1)
     return result
 
 
@@ -124,20 +126,34 @@ def apply_feed(
     last = feed.groupBy("path").agg(F.max_by(F.struct(*others), version).alias("last"), F.max(version).alias("version"))
     seen = store.seen()
     if seen is not None:
-        before = seen.join(last.select("path"), "path", "left_semi").groupBy("path").agg(F.max(F.struct("ts", "hash")).alias("before"))
-        last = last.join(before, "path", "left").where(F.col("before").isNull() | (F.col("version") >= F.col("before")))
-    hashed = _hashed(last.select("path", "last.*"))
+        before = seen.join(_shuffled(last.select("path")), "path", "left_semi").groupBy("path").agg(F.max(F.struct("ts", "hash")).alias("before"))
+        last = last.join(_shuffled(before), "path", "left").where(F.col("before").isNull() | (F.col("version") >= F.col("before")))
+    # Stored once: finding the last versions shuffles the texts, and three jobs read what it gives.
+    staged = f"{store.root}/work/feed-{uuid.uuid4().hex}"
+    last = _hashed(last.select("path", "version", "last.*"))
+    last.write.option("compression", "zstd").parquet(staged)
+    last = store.spark.read.schema(last.schema).parquet(staged)
+    hashed = last.drop("version")
     manifest = _manifest_with_ids(store, at)
     named = hashed.select("path", F.when(~F.col("deleted"), F.col("content_md5")).alias("content_md5"))
-    found = C.classify(named, manifest.join(named.select("path"), "path", "left_semi")).where(
+    found = C.classify(named, manifest.join(_shuffled(named.select("path")), "path", "left_semi")).where(
         F.col("content_md5").isNotNull() | F.col("doc_id").isNotNull()
     )
-    result = _apply(store, at, hashed.drop("deleted"), found, extractors, fallback)
+    result = _apply(store, at, hashed.where("not deleted").drop("deleted"), found, extractors, fallback)
     # After the commit: a run that fails before this is repeated with the same rows.
     store.remember(last.select("path", "version.*"))
     return result
 
 
+def _shuffled(table: DataFrame) -> DataFrame:
+    """A side of a join on paths that no plan hands to every task.
+
+    Spark judges a stored table by its compressed bytes, and so would send
+    millions of similar paths through the driver.
+    """
+    return table.hint("merge")
+
+
 def _hashed(scan: DataFrame) -> DataFrame:
     source = "bytes" if "bytes" in scan.columns else "text" if "text" in scan.columns else "content"
     md5 = C.fingerprint(F.coalesce(F.col(source), F.lit("").cast(scan.schema[source].dataType)))
@@ -196,13 +212,17 @@ def _apply(store, at, hashed, found, extractors, fallback) -> SyncResult:
     if added + lost == 0:
         return SyncResult(store, at.version, version, counts)
 
-    # 2. Analyse the new and changed documents only.  The events are a stored
-    # table of known size: Spark broadcasts a small one and shuffles by path
-    # for a large one.  Paths are unique, so that shuffle has no hot key.
+    # 2. Analyse the new and changed documents only.  Their number is known: a
+    # small one is broadcast, a large one meets the texts in a shuffle by path.
+    # Paths are unique, so that shuffle has no hot key.  If nothing was found
+    # known, nothing else is there.
     wanted = C.changed(changes).select("path")
-    todo = hashed.join(wanted, "path", "left_semi")
     if not added:
-        todo = todo.limit(0)
+        todo = hashed.limit(0)
+    elif counts["KNOWN"] == 0:
+        todo = hashed.where("path is not null")
+    else:
+        todo = hashed.join(F.broadcast(wanted) if added <= BROADCAST_PATHS else _shuffled(wanted), "path", "left_semi")
     store.write_forward(_documents(todo, extractors, fallback), version, at, wanted)
 
     # 3. The other tables of the segment, with the statistics of lost
