@@ -15,22 +15,23 @@ def phrase_candidates(postings: DataFrame, phrase_terms: DataFrame, few: bool) -
     ``phrase_terms``: ``phrase_id, field, term, bucket, idx, shift, n_terms,
     slop, rarest``; a term at ``shift`` in the phrase has to stand at ``shift``
     after its start.  Only documents of the rarest term can match, so the
-    frequent terms are cut down to those before anything is grouped; if they
-    are ``few``, before anything is shuffled.  A group
-    is one document, so its size is bounded by that document; positions travel
-    as arrays and are not exploded before the shuffle.
+    frequent terms are cut down to those, if they are ``few``, before anything
+    is shuffled.  Else ``postings`` are best dealt by document already: each
+    travels once, and the groups are made where it lies.  A group is one
+    document, so its size is bounded by that document; positions travel as
+    arrays and are not exploded before the shuffle.
     """
     rows = (
         postings.select("field", "term", "doc_id", "dl_q", "positions", "bucket")
         .join(F.broadcast(phrase_terms), ["field", "term", "bucket"])
         .select(*KEYS, "dl_q", "n_terms", "slop", "idx", "shift", "term", "positions", "rarest")
     )
-    rare = rows.where("rarest")
-    holders = rare.select(*KEYS)
-    others = rows.where("not rarest").join(F.broadcast(holders) if few else holders, list(KEYS), "left_semi")
+    if few:
+        rare = rows.where("rarest")
+        others = rows.where("not rarest").join(F.broadcast(rare.select(*KEYS)), list(KEYS), "left_semi")
+        rows = rare.unionByName(others)
     return (
-        rare.unionByName(others)
-        .groupBy(*KEYS)
+        rows.groupBy(*KEYS)
         .agg(
             F.first("dl_q").alias("dl_q"),
             F.first("n_terms").alias("n_terms"),

@@ -110,6 +110,11 @@ class _Batch:
             F.col("w.term").alias("term"), self.searcher.store.bucket(F.col("w.term")).alias("bucket"), F.explode(self._fields()).alias("field"),
         )
 
+    def _held(self, postings: DataFrame, lookups: DataFrame, *columns: str) -> DataFrame:
+        if self.small:
+            return self.searcher._by_document(postings, lookups, *columns)
+        return postings.select("field", "term", "bucket", "doc_id", *columns)
+
     def _leaf_hits(self, level: DataFrame, words: DataFrame) -> DataFrame:
         """``query_id, parent, clause_id, occur, doc_id, score``; a clause may
         have several rows for a document, which add up."""
@@ -121,7 +126,7 @@ class _Batch:
         weighted = single.groupBy(*keys, "field", "term", "bucket").agg(F.sum("boost").alias("weight"))
         weighted = s._with_idf(self._sized(weighted).join(terms, ["field", "term", "bucket"]))
         score = F.col("weight") * term_score(s.model, F.col("idf"), F.col("tf"), F.col("dl_q"), F.col("avgdl"))
-        held = postings.select("field", "term", "bucket", "doc_id", "tf", "dl_q").join(self._sized(weighted), ["field", "term", "bucket"])
+        held = self._held(postings, weighted, "tf", "dl_q").join(self._sized(weighted), ["field", "term", "bucket"])
         parts = [held.select(*keys, "doc_id", score.alias("score"))]
 
         several = words.where("kind = 'phrase' and n_terms > 1")
@@ -142,13 +147,21 @@ class _Batch:
             held = postings.select("field", "term", "bucket", "doc_id").join(found, ["field", "term", "bucket"])
             parts.append(held.groupBy(*keys, "field", "doc_id").agg(F.max("boost").alias("score")).drop("field"))
         if "fuzzy" in kinds:
-            asked = level.where("kind = 'fuzzy'").withColumn("clause", F.struct("query_id", "clause_id"))
-            words = asked.select("clause", F.lower("text").alias("word"), "max_edits", F.explode(self._fields()).alias("field"))
-            near = s._with_idf(FZ.expand(terms, words, self.few_keys)).join(self._sized(asked.select("clause", *keys, "boost")), "clause")
-            near = near.select(*keys, "field", "term", "bucket", (F.col("boost") * F.col("closeness")).alias("weight"), "idf", "avgdl")
-            # How many terms are near is known when the job runs: adaptive execution chooses how they reach the postings.
-            held = postings.select("field", "term", "bucket", "doc_id", "tf", "dl_q").join(near, ["field", "term", "bucket"])
-            parts.append(held.select(*keys, "doc_id", score.alias("score")))
+            # Clauses of one word, number of edits and field have the same terms, which are found and scored once.
+            of = F.struct(F.lower("text").alias("word"), "max_edits", F.coalesce("field", F.lit("")).alias("field"))
+            asked = level.where("kind = 'fuzzy'").withColumn("clause", of)
+            words = asked.select("clause", "clause.word", "max_edits", F.explode(self._fields()).alias("field")).distinct()
+            near = s._with_idf(FZ.expand(terms, words, self.few_keys)).select("clause", "field", "term", "bucket", "closeness", "idf", "avgdl")
+            # How many terms are near is known when the job runs: few of them are read once and go to every task.
+            rows = near.limit(S.BROADCAST_ROWS + 1).toArrow()
+            held = postings.select("field", "term", "bucket", "doc_id", "tf", "dl_q")
+            if rows.num_rows <= S.BROADCAST_ROWS:
+                near = F.broadcast(self.spark.createDataFrame(rows, near.schema))
+                held = s._by_document(postings, near, "tf", "dl_q")
+            score = F.col("closeness") * term_score(s.model, F.col("idf"), F.col("tf"), F.col("dl_q"), F.col("avgdl"))
+            sums = held.join(near, ["field", "term", "bucket"]).groupBy("clause", "doc_id").agg(F.sum(score).alias("score"))
+            scored = sums.join(self._sized(asked.select("clause", *keys, "boost")), "clause")
+            parts.append(scored.select(*keys, "doc_id", (F.col("boost") * F.col("score")).alias("score")))
         if "all" in kinds:
             every = level.where("kind = 'all'").select(*keys, F.col("boost").alias("score"))
             parts.append(s.store.docs(s.at).select("doc_id").join(F.broadcast(every)).select(*keys, "doc_id", "score"))
@@ -166,6 +179,7 @@ class _Batch:
         known = known.withColumns({"found": F.count("*").over(window), "idfs": F.sum("idf").over(window), "rarest": rarest})
         known = known.where("found = n_terms").withColumn("phrase_id", F.struct("query_id", "clause_id"))
         asked = known.select("phrase_id", "field", "term", "bucket", "idx", "shift", F.col("n_terms").cast("int").alias("n_terms"), "slop", "rarest", "repeats")
+        postings = self._held(postings, asked, "dl_q", "positions")
         parts = [PH.exact_frequency(PH.phrase_candidates(postings, asked.where("slop = 0"), False))]
         if longest:
             parts.append(PH.sloppy_frequency(PH.phrase_candidates(postings, asked.where("slop > 0 and not repeats"), False), longest))
@@ -209,8 +223,10 @@ class _Batch:
         def is_(occur: str) -> Column:
             return F.col("occur") == occur
 
-        table = hits.groupBy("query_id", "parent", "doc_id").agg(
-            F.size(F.collect_set(F.when(is_("must"), F.col("clause_id")))).alias("musts"),
+        # By clause first: a clause with several rows for a document is one that matches.
+        clauses = hits.groupBy("query_id", "parent", "clause_id", "occur", "doc_id").agg(F.sum("score").alias("score"))
+        table = clauses.groupBy("query_id", "parent", "doc_id").agg(
+            F.count_if(is_("must")).alias("musts"),
             F.count_if(is_("should")).alias("shoulds"),
             F.count_if(is_("must_not")).alias("excluded"),
             F.coalesce(F.sum(F.when(~is_("must_not"), F.col("score"))), F.lit(0.0)).alias("score"),

@@ -40,6 +40,9 @@ ONE_TASK_ROWS = 10_000
 # scan skip folders and row groups.
 LITERAL_TERMS = 2_000
 
+# Documents whose postings one task scores for all queries of a table.
+TASK_DOCUMENTS = 4_000
+
 # Postings for each wanted result that give a query its first floor.
 FIRST_ROWS = 20
 
@@ -254,7 +257,10 @@ class Searcher:
         Every term of a text is an optional clause on every field.
         """
         weighted, postings, small = self._text_lookups(queries)
-        hits = self._term_hits(postings, F.broadcast(weighted) if small else weighted)
+        if small:
+            weighted = F.broadcast(weighted)
+            postings = self._by_document(postings, weighted, "tf", "dl_q")
+        hits = self._term_hits(postings, weighted)
         return hits.groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), SCORE_DIGITS).alias("score"))
 
     def top_texts(self, queries: DataFrame, k: int = TK.RESULT_COUNT) -> DataFrame:
@@ -477,6 +483,21 @@ class Searcher:
             .select("query_id", *slot, "doc_id", score.alias("score"))
         )
 
+    def _by_document(self, postings: DataFrame, lookups: DataFrame, *columns: str) -> DataFrame:
+        """The postings of the terms looked up, each once, dealt by document.
+
+        What is grouped by document and query after that needs no other
+        shuffle, so what travels does not grow with the number of queries.
+        ``lookups`` are few enough for every task.
+        """
+        terms = ["field", "term", "bucket"]
+        wanted = F.broadcast(lookups.select(*terms).distinct())
+        documents = max([r["doc_count"] for r in self.stats.values()], default=0)
+        cores = self.spark.sparkContext.defaultParallelism
+        tasks = max(1, min(cores, documents // 500), documents // TASK_DOCUMENTS)
+        held = postings.select(*terms, "doc_id", *columns).join(wanted, terms, "left_semi")
+        return held.repartition(int(tasks), "doc_id")
+
     def _only(self, table: DataFrame, fields, words) -> DataFrame:
         """Rows of some terms: folder and row-group pruning by literals."""
         buckets = sorted({self._bucket_of[w] for w in words})
@@ -644,9 +665,11 @@ class Searcher:
             if not chosen:
                 continue
             rare_rows = sum(known[r["field"], r["term"]]["df"] for r in chosen if r["rarest"])
-            candidates = PH.phrase_candidates(
-                postings, local_rows(self.spark, chosen, schema), rare_rows <= BROADCAST_ROWS
-            )
+            all_rows = sum(known[r["field"], r["term"]]["df"] for r in chosen)
+            few = rare_rows <= BROADCAST_ROWS and all_rows >= ANCHOR_GAIN * rare_rows
+            looked_up = local_rows(self.spark, chosen, schema)
+            held = postings if few else self._by_document(postings, looked_up, "dl_q", "positions")
+            candidates = PH.phrase_candidates(held, looked_up, few)
             if repeats:
                 frequencies.append(PH.repeated_frequency(candidates))
             elif sloppy:
