@@ -8,7 +8,7 @@ import pytest
 
 from wordloom.functions.analysis import STOP_WORDS
 from wordloom.operators import clauses as Q
-from wordloom.operators import postings as P
+from wordloom.operators import postings
 from wordloom.operators.topk import top_k
 from wordloom.operators.phrases import apart
 from wordloom.plans.clause_table import KINDS as TABLE_KINDS
@@ -484,8 +484,40 @@ def test_query_reads_only_its_folders(corpus):
 def test_text_lengths_do_not_stem(spark):
     rows = [(1, "The baker's ovens, running: ovens", "a.txt"), (2, "", "of the"), (3, None, None), (4, "it was", "x 7 ß")]
     corpus = spark.createDataFrame(rows, "doc_id bigint, content string, title string")
-    found = P.text_lengths(corpus)
-    expected = P.doc_lengths(P.build_postings(corpus))
+    found = postings.text_lengths(corpus)
+    expected = postings.doc_lengths(postings.build_postings(corpus))
     assert sorted(found.collect()) == sorted(expected.collect())
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert len(plan) < len(expected._jdf.queryExecution().optimizedPlan().toString()) / 4
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def dealt_by_document(spark, tmp_path):
+    rows = [(i, f"{i}.txt", f"{i}.txt", f"word{i % 7} dough bread{i % 5} dough") for i in range(40)]
+    store = IndexStore(spark, str(tmp_path / "dealt"))
+    sync(store, spark.createDataFrame(rows, "doc_id bigint, path string, title string, content string"))
+    return Searcher(store)
+
+
+def test_postings_travel_once_by_document(spark, tmp_path):
+    searcher = dealt_by_document(spark, tmp_path)
+    texts = spark.createDataFrame([(1, "dough bread1"), (2, "dough bread2 word3")], "query_id bigint, text string")
+    assert not [line for line in exchanges(searcher.score_texts(texts)) if "query_id" in line and "doc_id" in line]
+    clauses = [(1, 1, "must", "term", "dough"), (1, 2, "should", "phrase", "dough bread1"), (2, 1, "must", "fuzzy", "bread"), (2, 2, "must", "fuzzy", "bread")]
+    table = spark.createDataFrame(clauses, "query_id bigint, clause_id int, occur string, kind string, text string")
+    found = score_clauses(searcher, table)
+    # Words with their frequencies are grouped by term; no score or position travels by query.
+    assert not [line for line in exchanges(found) if "query_id" in line and "doc_id" in line]
+    rows = {(r["query_id"], r["doc_id"]): r["score"] for r in found.collect()}
+    assert {d for q, d in rows if q == 1} == set(range(40)) and {d for q, d in rows if q == 2} == set(range(40))
+    assert len({rows[1, d] for d in range(40) if d % 5 == 1}) == 1 and rows[1, 1] > rows[1, 0]
+
+
+def test_phrase_of_frequent_terms_is_not_broadcast(spark, tmp_path):
+    found = dealt_by_document(spark, tmp_path).score([Q.phrase("dough dough")])
+    assert not [line for line in exchanges(found) if "phrase_id" in line]
+    assert found.isEmpty()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wordloom.operators.clauses import term
 from wordloom.plans.search import Searcher
 from wordloom.plans.store import IndexStore
-from wordloom.plans.sync import compact, sync
+from wordloom.plans.sync import apply_feed, compact, sync, sync_tree
 from wordloom.sources.files import scan_files
 from wordloom.sources.extract import DEFAULT_EXTRACTORS
 
@@ -206,3 +206,21 @@ def test_numbers_do_not_depend_on_partitions(spark, tmp_path):
         sync(store, spark.createDataFrame([(f"{i}.txt", "x") for i in range(20)], "path string, text string").repartition(n))
         numbers.append({r["path"]: r["doc_id"] for r in store.docs().collect()})
     assert numbers[0] == numbers[1]
+
+
+def test_paths_are_joined_by_shuffle(spark, tmp_path, monkeypatch):
+    """However few bytes they have as stored."""
+    folder = write_files(tmp_path / "tree", {"a.txt": "one", "b.txt": "two"})
+    store, seen = IndexStore(spark, str(tmp_path / "stamped")), []
+    monkeypatch.setattr(store, "stamp", lambda files, number: seen.append(files))
+    sync_tree(store, folder)
+    assert "SortMergeJoin" in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_feed_is_grouped_once(spark, tmp_path, monkeypatch):
+    store, seen = IndexStore(spark, str(tmp_path / "fed")), []
+    monkeypatch.setattr(store, "remember", seen.append)
+    feed = spark.createDataFrame([("a", "one", 1), ("a", "two", 2), ("b", "x", 1)], "path string, text string, ts int")
+    assert apply_feed(store, feed, extractors={}).counts["NEW"] == 2
+    assert "Aggregate" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["path"], r["ts"]) for r in seen[0].collect()) == [("a", 2), ("b", 1)]
