@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -169,6 +170,23 @@ def test_short_items_in_very_long_texts(spark):
     assert {i for d, i in found if d == 1} == {n for n, _ in items} and {i for d, i in found if d == 2} == {1}
 
 
+def test_benchmark_is_searched_once_for_each_task(docs):
+    bench = docs.select(docs.doc_id.alias("item_id"), "text").where("doc_id < 3")
+    plan = contamination.matches(docs, bench)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") + plan.count("MapInArrow") == 1
+
+
+def test_long_texts_are_searched_in_pieces():
+    words = [f"w{n}" for n in range(contamination.STRIDE)]
+    items, text = contamination.Items(["w70", " ".join(words[9:40])]), " ".join(words)
+    items.contained(text, 0.8)  # the words' hashes are remembered
+    tracemalloc.start()
+    found = items.contained(text, 0.8)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(0, 1, 1), (1, 27, 27)] and most < 60 << 20
+
+
 def test_suffix_arrays():
     rng = random.Random(5)
     for n in range(300):

@@ -6,8 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordloom.llm.shingles import K, mixed, rolled, words
 
@@ -16,6 +19,8 @@ HASHES = 64
 # Bytes of benchmark text that one pass over the documents carries to its tasks.
 BLOCK_BYTES = 4 << 20
 STRIDE = 1 << 16
+# Shingles, or blocks, whose HASHES values are laid out at a time.
+PIECE = 1 << 12
 
 _ODD = (mixed(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _FLIP = (mixed(np.arange(1001, HASHES + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -24,7 +29,16 @@ _FILTER = 1 << 20
 
 def _values(h: np.ndarray) -> np.ndarray:
     """HASHES x n values whose minima are the sketch."""
-    return ((h >> np.uint64(32)).astype(np.uint32)[None, :] ^ _FLIP[:, None]) * _ODD[:, None]
+    values = (h >> np.uint64(32)).astype(np.uint32)[None, :] ^ _FLIP[:, None]
+    values *= _ODD[:, None]
+    return values
+
+
+def _minima(h: np.ndarray, width: int) -> np.ndarray:
+    """HASHES minima of each block of ``width`` shingles; the values behind them exist piece by piece."""
+    step = max(PIECE, width)
+    pieces = (h[i : i + step] for i in range(0, len(h), step))
+    return np.hstack([np.minimum.reduceat(_values(p), np.arange(0, len(p), width), axis=1) for p in pieces])
 
 
 class Sketches:
@@ -65,17 +79,19 @@ class Sketches:
         row = (np.arange(HASHES, dtype=np.uint64) << np.uint64(32))[:, None]
         for start in range(0, len(h), stride - widest):
             chunk = h[start : start + stride]  # a segment over a chunk's end lies in the next one
-            width, low = smallest, np.minimum.reduceat(_values(chunk), np.arange(0, len(chunk), smallest), axis=1)
+            width, low = smallest, _minima(chunk, smallest)
             while True:
                 if width in self.parts:
                     keys, owner, near = self.parts[width]
                     # The minimum of two blocks is one of theirs, so testing blocks tests all segments.
-                    seen = low.astype(np.uint64) + row
-                    seen = seen[near[self._place(seen)]]
-                    if len(seen):
-                        left, right = np.searchsorted(keys, seen, "left"), np.searchsorted(keys, seen, "right")
-                        for a, b in zip(left, right):
-                            found.update(owner[a:b].tolist())
+                    for at in range(0, low.shape[1], PIECE):
+                        seen = low[:, at : at + PIECE] + row
+                        seen = seen[near[self._place(seen)]]
+                        if len(seen):
+                            seen = np.unique(seen)
+                            left, right = np.searchsorted(keys, seen, "left"), np.searchsorted(keys, seen, "right")
+                            for a, b in zip(left, right):
+                                found.update(owner[a:b].tolist())
                 if width >= widest:
                     break
                 if low.shape[1] > 1:
@@ -129,18 +145,44 @@ def _blocks(benchmark: DataFrame) -> list[DataFrame]:
     return [items.where(part == i) for i in range(n)]
 
 
-def _found(docs: DataFrame, block: DataFrame, least: float, out: str) -> tuple[DataFrame, list]:
-    """docs with the column ``out`` of matches, and the ids of the block's items by their number."""
+def _carried(block: DataFrame) -> tuple[Broadcast, list]:
+    """The texts of a block for the tasks, and the ids of its items by their number."""
     rows = sorted(block.collect(), key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))  # BLOCK_BYTES
-    texts = docs.sparkSession.sparkContext.broadcast([r["text"] for r in rows])
+    return block.sparkSession.sparkContext.broadcast([r["text"] for r in rows]), [r["item_id"] for r in rows]
+
+
+def _found(docs: DataFrame, texts: Broadcast, least: float) -> DataFrame:
+    """``doc_id, _i, n_shared, n_item`` for the items that the documents contain.
+
+    Rows are made in Python: an array column to be exploded would let Spark put
+    a filter before the explode and so search in two workers for each task.
+    """
+    numbers = pa.schema([("_i", pa.int32()), ("n_shared", pa.int32()), ("n_item", pa.int32())])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items(texts.value)
+        for batch in batches:
+            found = [(n, *m) for n, t in enumerate(batch.column(1)) for m in items.contained(t.as_py(), least)]
+            if found:
+                at, *rest = map(list, zip(*found))
+                columns = [pa.array(c, f.type) for c, f in zip(rest, numbers)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *columns], ["doc_id", *numbers.names])
+
+    narrow = docs.select("doc_id", "text")
+    schema = T.StructType([narrow.schema["doc_id"], *(T.StructField(n, T.IntegerType()) for n in numbers.names)])
+    return narrow.mapInArrow(search, schema)
+
+
+def _free_of(docs: DataFrame, texts: Broadcast, least: float) -> DataFrame:
+    """The rows of docs that contain none of the items."""
 
-    @F.pandas_udf("array<struct<item:int,shared:int,size:int>>")
-    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("boolean")
+    def free(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         items = Items(texts.value)
         for batch in batches:
-            yield pd.Series([[dict(zip(("item", "shared", "size"), m)) for m in items.contained(t, least)] for t in batch], dtype=object)
+            yield pd.Series([not items.contained(t, least) for t in batch], dtype=bool)
 
-    return docs.withColumn(out, search("text")), [r["item_id"] for r in rows]
+    return docs.where(free("text"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT) -> DataFrame:
@@ -156,11 +198,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT) -
     """
     out = []
     for block in _blocks(benchmark):
-        found, ids = _found(docs.select("doc_id", "text"), block, least, "_m")
-        rows = found.select("doc_id", F.explode("_m").alias("_m"))
+        texts, ids = _carried(block)
         named = F.broadcast(docs.sparkSession.createDataFrame(list(enumerate(ids)), f"_i int, item_id {dict(benchmark.dtypes)['item_id']}"))
-        rows = rows.withColumn("_i", F.col("_m.item")).join(named, "_i")
-        out.append(rows.select("doc_id", "item_id", F.col("_m.shared").alias("n_shared"), F.col("_m.size").alias("n_item"), (F.col("_m.shared") / F.col("_m.size")).alias("containment")))
+        rows = _found(docs, texts, least).join(named, "_i")
+        out.append(rows.select("doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment")))
     if not out:
         return docs.select("doc_id", F.lit(None).cast(dict(benchmark.dtypes)["item_id"]).alias("item_id"), F.lit(0).alias("n_shared"), F.lit(0).alias("n_item"), F.lit(0.0).alias("containment")).where("false")
     union = out[0]
@@ -172,6 +213,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT) -
 def decontaminated(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT) -> DataFrame:
     """docs without those that contain a test item; all columns and other rows as they are."""
     for block in _blocks(benchmark):
-        cols = docs.columns
-        docs = _found(docs, block, least, "_matches_of_block")[0].where(F.size("_matches_of_block") == 0).select(*(F.col(f"`{c}`") for c in cols))
+        docs = _free_of(docs, _carried(block)[0], least)
     return docs
