@@ -1,8 +1,12 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from wordloom.functions import analysis, runs
 from wordloom.functions.analysis import analyze, drop_stop_words, stem, tokenize
 from wordloom.functions.lengths import quantize_length
+from wordloom.operators import postings
 
 # Words of the tables of the published stemmer paper, with their final stems.
 PORTER = """caresses caress|ponies poni|ties ti|caress caress|cats cat|feed feed|agreed agre|
@@ -83,3 +87,24 @@ def test_quantized_length(spark):
     lengths = [*range(5000), 10**5, 10**7]
     assert column(spark, lengths, quantize_length, "v int") == [expected(n) for n in lengths]
     assert [expected(n) for n in (41, 100, 1000, 3000)] == [40, 96, 984, 2840]
+
+
+def test_runs_equal_the_expressions(spark, monkeypatch):
+    """Terms, counts and positions of the Arrow function are those of the expressions that analyse queries."""
+    rng = random.Random(8)
+    endings = ["", "s", "ies", "sses", "eed", "ed", "ing", *(r[0] for r in analysis.STEP2 + analysis.STEP3), *analysis.STEP4, "e", "lle", "ll", "y"]
+    words = ["".join(rng.choice("abeiostyzéß1'") for _ in range(rng.randrange(1, 6))) + rng.choice(endings) + rng.choice(endings) for _ in range(4000)]
+    texts = [" ".join(rng.choices(words + list(analysis.STOP_WORDS), k=300)) for _ in range(30)]
+    texts += [None, "", "the of", "Yes yes", "x" * 300 + " is 東京 naïve", *map(" ".join, zip(*[iter(words)] * 100))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, content string").repartition(2)
+    monkeypatch.setattr(runs, "PIECE_WORDS", 250)
+    got = docs.select("doc_id", runs.term_runs(analysis.tokenize(F.col("content"))).alias("r"), analysis.analyze_column("content").alias("a"))
+    for row in got.collect():
+        want = {}
+        for i, t in enumerate(row.a or []):
+            if t is not None:
+                want.setdefault(t, []).append(i)
+        assert [(r.term, r.tf, r.positions) for r in row.r] == [(t, len(p), p) for t, p in sorted(want.items())]
+    # Not an expression of a thousand nodes for each word.
+    plan = postings.analyze_documents(docs, ("content",))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rlike") == 0 and plan.lower().count("runs(") == 1

@@ -1,7 +1,7 @@
 """From documents to postings, and statistics over postings.
 
-The terms of a document are grouped inside its row: sort its (term, position)
-pairs, cut where the term changes.  A document is one row of the scan, so its
+The terms of a document are grouped inside its row, by an Arrow function over
+its words (``functions/runs.py``).  A document is one row of the scan, so its
 postings need no shuffle, whatever the number of documents or the frequency
 of a term.
 """
@@ -10,57 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.analysis import analyze_column, bind, drop_stop_words, tokenize
+from wordloom.functions.analysis import drop_stop_words, tokenize
 from wordloom.functions.lengths import quantize_length
+from wordloom.functions.runs import term_runs
 
 FIELDS = ("content", "title")
 
 
-def term_runs(terms: Column) -> Column:
-    """Array of (term, tf, positions), by term, from an array of terms."""
-    pairs = F.sort_array(
-        F.filter(
-            F.transform(terms, lambda t, i: F.struct(t.alias("term"), i.alias("pos"))),
-            lambda p: p["term"].isNotNull(),
-        )
-    )
-
-    def runs(s: Column) -> Column:
-        n = F.size(s)
-        starts = F.when(
-            n > 0,
-            F.filter(
-                F.sequence(F.lit(0), n - 1),
-                lambda i: (i == 0) | (F.get(s, i)["term"] != F.get(s, i - 1)["term"]),
-            ),
-        ).otherwise(F.array().cast("array<int>"))
-
-        def run(b: Column) -> Column:
-            def posting(start: Column, k: Column) -> Column:
-                tf = F.coalesce(F.get(b, k + 1), n) - start
-                return F.struct(
-                    F.get(s, start)["term"].alias("term"),
-                    tf.alias("tf"),
-                    F.transform(F.slice(s, start + 1, tf), lambda p: p["pos"]).alias("positions"),
-                )
-
-            return F.transform(b, posting)
-
-        return bind(starts, run)
-
-    return bind(pairs, runs)
-
-
 def analyze_documents(corpus: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
     """One row per document: ``runs_<field>`` next to the other columns.
 
     The texts themselves are dropped; a narrow step, whatever the corpus size.
     """
     keys = [c for c in corpus.columns if c not in fields]
-    runs = [term_runs(analyze_column(f)).alias(f"runs_{f}") for f in fields]
+    runs = [term_runs(tokenize(F.col(f))).alias(f"runs_{f}") for f in fields]
     return corpus.select(*keys, *runs)
 
 
