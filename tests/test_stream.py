@@ -71,3 +71,8 @@ def test_equal_times_in_two_feeds(spark, tmp_path):
         for row in order:
             apply_feed(store, spark.createDataFrame([row], SCHEMA))
     assert texts(stores[0]) == texts(stores[1])
+
+
+def test_tables_without_segments_start_no_python(spark, tmp_path):
+    docs = IndexStore(spark, str(tmp_path / "index")).docs()
+    assert "ExistingRDD" not in docs._jdf.queryExecution().executedPlan().toString() and docs.count() == 0

@@ -106,7 +106,7 @@ class IndexStore:
     def _read(self, table: str, part: str, numbers: Sequence[int]) -> DataFrame:
         schema = SCHEMAS.get(table) or self._forward_schema()
         if not numbers:
-            return self.spark.createDataFrame([], schema)
+            return local_rows(self.spark, [], schema)
         return (
             self.spark.read.schema(schema)
             .option("basePath", f"{self.root}/{table}")
