@@ -1,8 +1,9 @@
 """Text analysis as column expressions: words, stop words, Porter stems.
 
-One chain serves documents and queries.  Every function maps a column to a
-column, so the whole chain runs inside the scan stage: no shuffle, no Python
-worker, no vocabulary table that would grow with the corpus.
+Every function maps a column to a column, so the whole chain runs inside the
+scan stage: no shuffle, no vocabulary table that would grow with the corpus.
+Queries take the whole chain; documents take its words, and ``runs`` stems
+them by the same rules.
 """
 
 from __future__ import annotations
